@@ -12,10 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
-    """First row of each key by ``order``; the rest of the row breaks ties, so the result repeats."""
+def distinct_on(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (), total: bool = False
+) -> DataFrame:
+    """First row of each key by ``order``.
+
+    Unless ``order`` is ``total``, the rest of the row breaks ties, so that the result repeats.
+    """
     ordered = {c for c in order if isinstance(c, str)}
-    rest = [c for c in df.columns if c not in keys and c not in ordered]
+    rest = [] if total else [c for c in df.columns if c not in keys and c not in ordered]
     by = [*order, *rest] or [F.lit(0)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

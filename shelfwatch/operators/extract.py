@@ -226,7 +226,7 @@ def parse_pages(landing: DataFrame, max_page: int = PAGES_PER_CATALOG) -> DataFr
     )
 
 
-def _until_first_empty(parsed: DataFrame, per_page: int, cap: int) -> DataFrame:
+def until_first_empty(parsed: DataFrame, per_page: int, cap: int) -> DataFrame:
     """Pages up to the first empty one of their catalog; rows beyond the place cap do not count."""
     room = F.lit(cap) - (F.col("page") - 1) * per_page
     rows = F.greatest(F.lit(0), F.least(F.coalesce(F.size("products"), F.lit(0)), room))
@@ -249,7 +249,7 @@ def page_rows(
     parsed: DataFrame, per_page: int = PRODUCTS_PER_PAGE, cap: int = POSITION_PLACE_CAP
 ) -> DataFrame:
     """One row per listed product with its place in the catalog, required fields not yet checked."""
-    listed = _until_first_empty(parsed, per_page, cap).select(
+    listed = until_first_empty(parsed, per_page, cap).select(
         *CATALOG_KEY, "page", "ingest_seq", F.posexplode("products").alias("_pos", "_p")
     )
     placed = listed.withColumn("place", (F.col("page") - 1) * per_page + F.col("_pos") + 1)

@@ -5,10 +5,13 @@ Each import is skipped when its marker exists, and repeats harmlessly when only
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +24,21 @@ from shelfwatch.operators.resolve import resolve
 from shelfwatch.operators.retention import active_products, keep_seen_since, retention_edge
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.session import scratch_folder
-from shelfwatch.sources.landing import REJECTS, read_warehouse_file, refused_replies
+from shelfwatch.sources.landing import read_warehouse_file, refused_replies
 from shelfwatch.sources.warehouse import Warehouse, part_of
-from shelfwatch.tables import DICTIONARIES, FULL_IMPORT_ORDER, HISTORIES, POINT_IMPORT_ORDER, TABLES, TableSpec
+from shelfwatch.tables import DICTIONARIES, FULL_IMPORT_WAVES, HISTORIES, POINT_IMPORT_WAVES, TABLES, TableSpec
+
+
+Waves = Iterable[Iterable[str]]
+
+
+def at_once(spark: SparkSession, steps: list[Callable[[], object]]) -> list:
+    """Run independent Spark actions side by side, so one job's last tasks leave no cores idle."""
+    if not steps:
+        return []
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [r.result() for r in running]
 
 
 class RejectedRows(RuntimeError):
@@ -82,6 +97,14 @@ class SnapshotJob:
             bundle["warehouses"] = bundle["warehouses"].unionByName(listed)
         return bundle
 
+    def stage_all(self, warehouse_file: str | None = None) -> dict[str, DataFrame]:
+        sources, pages, stocks = at_once(
+            self.spark,
+            [self.stage_sources, self.stage_pages, lambda: self.stage_stocks(warehouse_file=warehouse_file)],
+        )
+        self.keep_extraction_rejects()
+        return {**sources, **pages, **stocks}
+
     def staged(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
         """Staging columns, stamped with the snapshot time, texts without breaks and tabs."""
         columns = []
@@ -102,9 +125,7 @@ class SnapshotJob:
         rejects.write.mode("overwrite").parquet(f"{self.warehouse.root}/_rejects/day={day}/point={point}/{name}")
 
     def keep_extraction_rejects(self) -> None:
-        rejects = self.spark.createDataFrame([], REJECTS)
-        for part in self.extraction_rejects:
-            rejects = rejects.unionByName(part)
+        rejects = reduce(DataFrame.unionByName, self.extraction_rejects)
         if self.strict:
             self._refuse("extraction", rejects)
         self._keep_rejects("extraction", rejects)
@@ -132,13 +153,21 @@ class SnapshotJob:
         if count.get["rejected"]:
             self._keep_rejects(table, rejects)
 
-    def load_all(self, order: Iterable[str], frames: Mapping[str, DataFrame], manifest: Manifest | None) -> None:
+    def load_all(self, waves: Waves, frames: Mapping[str, DataFrame], manifest: Manifest | None) -> None:
         done = manifest.done(self.ts) if manifest else set()
-        for table in order:
-            if table in frames and ("import", table) not in done:
+        for wave in waves:
+            todo = [t for t in wave if t in frames and ("import", t) not in done]
+            loaded: list[str] = []
+
+            def load(table: str) -> None:
                 self.load(table, frames[table])
-                if manifest:
-                    manifest.mark(self.ts, "import", table)
+                loaded.append(table)
+
+            try:
+                at_once(self.spark, [lambda table=table: load(table) for table in todo])
+            finally:
+                if manifest and loaded:
+                    manifest.mark(self.ts, "import", *loaded)
 
     # --- changes ------------------------------------------------------------------------------------------
 
@@ -217,6 +246,10 @@ def retain(warehouse: Warehouse, day: datetime) -> None:
 # --- runs -------------------------------------------------------------------------------------------------
 
 
+def _imported(waves: Waves, done: set[tuple[str, str]]) -> bool:
+    return all(("import", table) in done for wave in waves for table in wave)
+
+
 def run_full(
     warehouse: Warehouse, landing: DataFrame, ts: datetime, warehouse_file: str | None = None, strict: bool = False
 ) -> None:
@@ -226,10 +259,8 @@ def run_full(
     done = manifest.done(job.ts)
     if ("begin", "full") not in done:
         manifest.mark(job.ts, "begin", "full")
-    if not {("import", table) for table in FULL_IMPORT_ORDER} <= done:
-        frames = {**job.stage_sources(), **job.stage_pages(), **job.stage_stocks(warehouse_file=warehouse_file)}
-        job.keep_extraction_rejects()
-        job.load_all(FULL_IMPORT_ORDER, frames, manifest)
+    if not _imported(FULL_IMPORT_WAVES, done):
+        job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), manifest)
     day = midnight(job.ts)
     steps = {
         "changes": lambda: job.derive_changes(day),
@@ -253,11 +284,11 @@ def run_point(
     done = manifest.done(job.ts)
     if ("begin", "point") not in done:
         manifest.mark(job.ts, "begin", "point")
-    if not {("import", table) for table in POINT_IMPORT_ORDER} <= done:
+    if not _imported(POINT_IMPORT_WAVES, done):
         today = active_products(warehouse.read("products"), F.lit(midnight(job.ts)))
         frames = job.stage_stocks(today, warehouse_file)
         job.keep_extraction_rejects()
-        job.load_all(POINT_IMPORT_ORDER, frames, manifest)
+        job.load_all(POINT_IMPORT_WAVES, frames, manifest)
     if ("step", "changes") not in done:
         job.derive_changes(job.ts)
         manifest.mark(job.ts, "step", "changes")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.functions.calendar import grid_point, midnight, utc
+from shelfwatch.session import empty_frame, literal_row
 from shelfwatch.sources.warehouse import Warehouse
 
 MARKERS = T.StructType(
@@ -34,12 +35,14 @@ class Manifest:
         """Markers of the day of ``ts``: a new day starts without any."""
         folder = self._folder(ts)
         if not any(n.startswith("part-") for n in self.warehouse.files.names(folder)):
-            return self.spark.createDataFrame([], MARKERS)
+            return empty_frame(self.spark, MARKERS)
         return self.spark.read.schema(MARKERS).json(folder)
 
-    def mark(self, ts: datetime, unit: str, key: str = "") -> None:
-        row = self.spark.createDataFrame([(utc(ts), unit, key)], MARKERS)
-        row.coalesce(1).write.mode("append").json(self._folder(ts))
+    def mark(self, ts: datetime, unit: str, *keys: str) -> None:
+        """Append one marker per key."""
+        row = literal_row(self.spark, MARKERS, {"snapshot_ts": utc(ts), "unit": unit, "key": None})
+        marked = row.withColumn("key", F.explode(F.array(*map(F.lit, keys))))
+        marked.write.mode("append").json(self._folder(ts))
 
     def _units(self, day: datetime) -> set[tuple[datetime, str, str]]:
         """Job-level markers of a day; a run has a few dozen, whatever the size of the data."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime settings the operators count on. Partition counts and sizes stay with the cluster.
 SETTINGS = {
@@ -40,6 +42,16 @@ def local_session(name: str = "shelfwatch", cores: int | str = "*", partitions:
     return builder.getOrCreate()
 
 
+def literal_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFrame:
+    """One row that is planned as a constant, without a Python worker."""
+    columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return literal_row(spark, schema, dict.fromkeys(schema.names)).where(F.lit(False))
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """New folder below the cluster's ``spark.checkpoint.dir``.
 

@@ -25,16 +25,6 @@ LANDING = T.StructType(
     ]
 )
 
-REJECTS = T.StructType(
-    [
-        T.StructField("snapshot_ts", T.TimestampType()),
-        T.StructField("stage", T.StringType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("request", T.StringType()),
-        T.StructField("ingest_seq", T.LongType()),
-    ]
-)
-
 # Reply codes an endpoint may answer with.
 ACCEPTED_CODES = {
     "catalog": (200,),

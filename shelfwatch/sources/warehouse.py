@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.functions.calendar import utc
 from shelfwatch.operators.dedupe import distinct_on, merge_by_key, nulls_last
+from shelfwatch.session import empty_frame
 from shelfwatch.tables import TABLES, TableSpec
 
 _PART_FORMAT = "%Y%m%d/%H%M%S"
@@ -126,7 +127,7 @@ class Warehouse:
 
     def _scan(self, spec: TableSpec, parts: dict[str, int]) -> DataFrame:
         if not parts:
-            return self.spark.createDataFrame([], spec.final)
+            return empty_frame(self.spark, spec.final)
         data = self._data(spec.name)
         paths = []
         for part, rev in sorted(parts.items()):

@@ -17,7 +17,7 @@ from shelfwatch.operators.compact import compaction_day
 from shelfwatch.plans.jobs import SnapshotJob, rederive_changes, run_full, run_point
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.sources.warehouse import Warehouse
-from shelfwatch.tables import FULL_IMPORT_ORDER
+from shelfwatch.tables import FULL_IMPORT_WAVES
 
 # Grid times of one micro-batch: more than three years of snapshots means the times are not on the grid.
 _MAX_SNAPSHOTS = 10_000
@@ -60,9 +60,9 @@ def _merge_late(
     stored = warehouse.snapshot_times("stocks")
     compacted = compaction_day(stored, midnight(stored[-1])) if stored else None
     job = SnapshotJob(warehouse, landing, ts, strict)
-    frames = {**job.stage_sources(), **job.stage_pages(), **job.stage_stocks(warehouse_file=warehouse_file)}
-    job.keep_extraction_rejects()
-    job.load_all([t for t in FULL_IMPORT_ORDER if not frames[t].isEmpty()], frames, manifest=None)
+    frames = job.stage_all(warehouse_file)
+    present = {table: rows for table, rows in frames.items() if not rows.isEmpty()}
+    job.load_all(FULL_IMPORT_WAVES, present, manifest=None)
     rederive_changes(warehouse, [ts], frozen_before=compacted.end if compacted else None)
 
 

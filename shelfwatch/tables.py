@@ -170,9 +170,11 @@ TABLES: dict[str, TableSpec] = {
 DICTIONARIES = tuple(n for n, s in TABLES.items() if not s.is_history)
 HISTORIES = tuple(n for n, s in TABLES.items() if s.is_history)
 
-# Dictionaries first, then what refers to them.
-FULL_IMPORT_ORDER = (
-    "catalogs", "categories", "queries", "brands", "sellers", "products",
-    "product_details", "positions", "sizes", "warehouses", "stocks",
+# Dictionaries before what refers to them; the tables of one wave do not refer to each other.
+FULL_IMPORT_WAVES = (
+    ("catalogs", "brands", "sellers", "warehouses"),
+    ("categories", "queries", "products"),
+    ("product_details", "positions", "sizes"),
+    ("stocks",),
 )
-POINT_IMPORT_ORDER = ("sizes", "warehouses", "stocks")
+POINT_IMPORT_WAVES = (("sizes", "warehouses"), ("stocks",))

@@ -1,8 +1,9 @@
 """A small marketplace as landing replies."""
 
 import json
+import tempfile
 
-from shelfwatch.sources.landing import LANDING
+from shelfwatch.sources.landing import LANDING, read_landing
 
 MENU = [
     {
@@ -66,7 +67,10 @@ class Replies:
         return self
 
     def frame(self, spark):
-        return spark.createDataFrame(self.rows, LANDING)
+        """The replies as a Parquet landing table, as a job reads them."""
+        path = tempfile.mkdtemp(prefix="landing-")
+        spark.createDataFrame(self.rows, LANDING).coalesce(1).write.mode("overwrite").parquet(path)
+        return read_landing(spark, path)
 
 
 def full_replies(ts, levels):

@@ -1,4 +1,5 @@
 import json
+from datetime import timedelta
 
 import pytest
 from conftest import at, rows
@@ -8,7 +9,7 @@ from shelfwatch.plans import jobs
 from shelfwatch.plans.jobs import RejectedRows, run_due, run_full, run_point
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.sources.warehouse import Warehouse
-from shelfwatch.tables import FULL_IMPORT_ORDER, TABLES
+from shelfwatch.tables import TABLES
 
 LEVELS = [(101, "M", {1: 10, 2: 4}), (102, "L", {1: 6})]
 
@@ -93,8 +94,8 @@ def test_restart_gives_the_same_tables(spark, warehouse, tmp_path, monkeypatch):
     loaded = []
     monkeypatch.setattr(jobs.SnapshotJob, "load", lambda self, t, f: (loaded.append(t), load(self, t, f)))
     run_full(warehouse, landing, ts)
-    assert loaded == ["positions", "sizes", "warehouses", "stocks"]
-    for table in FULL_IMPORT_ORDER:
+    assert loaded == ["positions", "stocks"]
+    for table in TABLES:
         assert rows(warehouse.read(table)) == rows(whole.read(table)), table
 
 
@@ -145,7 +146,6 @@ def test_upkeep_compacts_and_retains(spark, warehouse):
     assert {t: rows(warehouse.read(t)) for t in TABLES} == before
     jobs.retain(warehouse, at(31))
     assert warehouse.snapshot_times("stocks") == [at(1), at(2), at(2, 3), at(3)]
-    from datetime import timedelta
     jobs.retain(warehouse, at(31) + timedelta(days=1))
     assert warehouse.snapshot_times("stocks") == [at(2), at(2, 3), at(3)]
     assert not warehouse.read("products").isEmpty()
