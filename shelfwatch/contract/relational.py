@@ -244,20 +244,36 @@ FROM documents
 """
 
 
+_LATIN, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщэ"
+
+
 def repaired_text(spark, folder):
-    """Documents read as Latin-1 and repaired: texts with the marker letter come back whole."""
-    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    """Documents in Cyrillic letters, read as Latin-1 and repaired.
+
+    Texts with the marker letter come back whole, others keep one letter per byte.
+    """
+    text = F.col("cyrillic")
+    broken = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
     repaired = repair_double_encoding(broken)
-    return table(spark, folder, "documents").select(
-        "doc_id", F.length(repaired).cast("bigint").alias("n"), (repaired == F.col("text")).alias("same")
-    )
+    cyrillic = F.when(F.col("lang") != "en", F.translate("text", _LATIN, _CYRILLIC)).otherwise(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", cyrillic.alias("cyrillic")).select(
+        "doc_id", F.length(repaired).cast("bigint").alias("n"), (repaired == text).alias("same"),
+        F.md5(F.encode(repaired, "UTF-8")).alias("digest"),
+    ).withColumn("digest", F.when(F.col("same"), F.col("digest")))
 
 
-REPAIRED_TEXT_SQL = """
-SELECT doc_id,
-       CASE WHEN regexp_matches(text, '[Ѐ-п]') THEN length(text) ELSE octet_length(encode(text)) END AS n,
-       regexp_matches(text, '[Ѐ-п]') OR octet_length(encode(text)) = length(text) AS same
-FROM documents
+REPAIRED_TEXT_SQL = f"""
+WITH letters AS (
+  SELECT doc_id, CASE WHEN lang <> 'en' THEN translate(text, '{_LATIN}', '{_CYRILLIC}') ELSE text END AS text
+  FROM documents
+),
+checked AS (
+  SELECT *, regexp_matches(text, '[Ѐ-п]') AS marked, octet_length(encode(text)) AS bytes FROM letters
+)
+SELECT doc_id, CASE WHEN marked THEN length(text) ELSE bytes END AS n,
+       marked OR bytes = length(text) AS same,
+       CASE WHEN marked OR bytes = length(text) THEN md5(text) END AS digest
+FROM checked
 """
 
 

@@ -59,14 +59,14 @@ def day_start(ts: Column, shift: int = 0, zone: str | None = None) -> Column:
 def point_floor(ts: Column, zone: str | None = None) -> Column:
     """Latest grid point not after ``ts``: 0, 3, ... 21 h of the local day."""
     local = _localise(ts, zone)
-    hour = F.floor(F.hour(local) / GRID_HOURS).cast("int") * GRID_HOURS
+    hour = F.hour(local) - F.hour(local) % GRID_HOURS
     return _restore(_midnight(local) + _hours(hour), zone)
 
 
 def next_point(ts: Column, zone: str | None = None) -> Column:
     """First grid point after ``ts``; from 21 h on that is the next midnight."""
     local = _localise(ts, zone)
-    hour = (F.floor(F.hour(local) / GRID_HOURS).cast("int") + 1) * GRID_HOURS
+    hour = F.hour(local) - F.hour(local) % GRID_HOURS + GRID_HOURS
     same_day = _midnight(local) + _hours(hour)
     return _restore(
         F.when(hour < 24, same_day).otherwise(F.date_add(local.cast("date"), 1).cast("timestamp_ntz")),

@@ -24,7 +24,7 @@ def integer_like(text: Column) -> Column:
 def exact_int(number: Column, kind: str = "int") -> Column:
     """Narrow without loss: null for a fraction or a value out of range."""
     low, high = _INT_RANGE[kind]
-    return F.when((number == F.floor(number)) & number.between(low, high), number.cast(kind))
+    return F.when((number % 1 == 0) & number.between(low, high), number.cast(kind))
 
 
 def minor_to_major(amount: Column) -> Column:

@@ -27,10 +27,11 @@ def sku_batches(skus: DataFrame, column: str = "sku", size: int = BATCH_SIZE) ->
         .select("_range", F.coalesce("_before", F.lit(0)).alias("_before"))
     )
     in_range = F.row_number().over(Window.partitionBy("_range").orderBy("sku"))
-    ranked = ranged.withColumn("_place", in_range).join(F.broadcast(offsets), "_range")
-    batch = F.floor((F.col("_before") + F.col("_place") - 1) / size)
+    # Every range has its offset; an outer join adds no filter, so both sides share the exchange of ``distinct``.
+    ranked = ranged.withColumn("_place", in_range).join(F.broadcast(offsets), "_range", "left")
+    batch = F.call_function("div", F.col("_before") + F.col("_place") - 1, F.lit(size))
     return (
-        ranked.withColumn("batch", batch.cast("bigint"))
+        ranked.withColumn("batch", batch)
         .groupBy("batch")
         .agg(F.array_sort(F.collect_list("sku")).alias("skus"))
     )

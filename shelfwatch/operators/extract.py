@@ -60,6 +60,14 @@ def _any_null(*columns: str) -> Column:
     return missing
 
 
+def _parsed_once(df: DataFrame, name: str, parse: Column) -> DataFrame:
+    """Add a parsed column behind a one-element explode.
+
+    Filters on parsed fields would otherwise be pushed below the parse with a copy of it in each of them.
+    """
+    return df.select("*", F.explode(F.array(parse)).alias(name))
+
+
 def _names_of_null(*columns: str) -> Column:
     return F.concat_ws(
         " ", F.lit("missing or inexact:"), *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]
@@ -148,7 +156,7 @@ def queries_rejects(landing: DataFrame) -> DataFrame:
 
 
 def _parsed_catalogs(landing: DataFrame) -> DataFrame:
-    parsed = replies(landing, "catalog").withColumn("_json", F.from_json("body", CATALOG_BODY))
+    parsed = _parsed_once(replies(landing, "catalog"), "_json", F.from_json("body", CATALOG_BODY))
     return parsed.withColumns({"shard": F.col("_json.shardKey"), "query": F.col("_json.query")})
 
 
@@ -313,11 +321,8 @@ def extract_pages(landing: DataFrame) -> dict[str, DataFrame]:
 
 
 def _parsed_sellers(landing: DataFrame) -> DataFrame:
-    named = (
-        replies(landing, "seller")
-        .where("code = 200")
-        .withColumn("_json", F.from_json("body", SELLER_BODY, _BAD))
-    )
+    found = replies(landing, "seller").where("code = 200")
+    named = _parsed_once(found, "_json", F.from_json("body", SELLER_BODY, _BAD))
     return named.select(
         "snapshot_ts", "sku", "ingest_seq",
         exact_int(F.col("_json.supplierId")).alias("wb_id"),
