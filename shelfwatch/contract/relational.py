@@ -20,7 +20,7 @@ from shelfwatch.functions.urls import product_image_url, stocks_url
 from shelfwatch.operators.batches import sku_batches
 from shelfwatch.operators.dedupe import distinct_on, merge_by_key, nulls_last, pending
 from shelfwatch.operators.resolve import resolve
-from shelfwatch.session import scratch_folder
+from shelfwatch.session import scratch_folder, spread
 from shelfwatch.sources.staging_text import from_lines, to_lines
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.snapshots import stream_stocks
@@ -256,7 +256,7 @@ def repaired_text(spark, folder):
     broken = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
     repaired = repair_double_encoding(broken)
     cyrillic = F.when(F.col("lang") != "en", F.translate("text", _LATIN, _CYRILLIC)).otherwise(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", cyrillic.alias("cyrillic")).select(
+    return spread(table(spark, folder, "documents")).select("doc_id", cyrillic.alias("cyrillic")).select(
         "doc_id", F.length(repaired).cast("bigint").alias("n"), (repaired == text).alias("same"),
         F.md5(F.encode(repaired, "UTF-8")).alias("digest"),
     ).withColumn("digest", F.when(F.col("same"), F.col("digest")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfwatch.contract.tables import cents, naive, table
 from shelfwatch.functions.urls import catalog_url, page_url, queries_url, seller_url
 from shelfwatch.operators import extract as E
+from shelfwatch.session import spread
 from shelfwatch.sources.landing import LANDING, refused_replies, replies
 
 _PLACE_CAP = 1801
@@ -19,7 +20,7 @@ _PLACE_CAP = 1801
 
 def as_landing(df: DataFrame, **columns) -> DataFrame:
     """Landing columns; the ones not given are null."""
-    return df.select(
+    return spread(df).select(
         *[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LANDING.fields]
     )
 

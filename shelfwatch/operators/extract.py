@@ -2,7 +2,7 @@
 
 Every ``parse_*`` function turns bodies into typed columns once; the bundles built on it are projections of
 that parse, so a job writes the parse to its scratch folder and reads it back column by column.
-Numbers are parsed as decimals and narrowed without loss. A row with a missing or inexact required field goes
+Numbers are parsed as doubles, which hold every 32-bit integer, and narrowed without loss. A row with a missing or inexact required field goes
 to the ``rejects`` frame of its bundle.
 """
 
@@ -30,7 +30,7 @@ POSITION_PLACE_CAP = 5000
 CATEGORY_START = "/catalog"
 CATEGORY_SEPARATOR = "/"
 
-_NUMBER = "decimal(38,10)"
+_NUMBER = "double"
 _BAD = {"columnNameOfCorruptRecord": "_bad"}
 
 CATALOG_BODY = "query string, shardKey string"
@@ -145,7 +145,10 @@ def extract_queries(landing: DataFrame) -> DataFrame:
     """Query texts per source; empty and integer-like texts are dropped."""
     exploded = (
         replies(landing, "queries")
-        .select("snapshot_ts", "source_kind", "source_text", "ingest_seq", F.explode(_query_texts()).alias("text"))
+        .select(
+            "snapshot_ts", "source_kind", "source_text", "ingest_seq",
+            F.explode_outer(_query_texts()).alias("text"),
+        )
         .where((F.col("text") != "") & ~integer_like(F.col("text")))
     )
     return distinct_on(exploded, ["snapshot_ts", "source_kind", "source_text", "text"], ["ingest_seq"])
@@ -220,7 +223,10 @@ def category_bundle(bound: DataFrame) -> dict[str, DataFrame]:
 
 
 def parse_pages(landing: DataFrame, max_page: int = PAGES_PER_CATALOG) -> DataFrame:
-    """Page replies with their product array; ``readable`` is false for a body that is not a product list."""
+    """Page replies with their product array and its length.
+
+    ``readable`` is false for a body that is not a product list.
+    """
     has_body = (F.col("code") == 200) & (F.col("body") != "")
     return (
         replies(landing, "page")
@@ -230,14 +236,19 @@ def parse_pages(landing: DataFrame, max_page: int = PAGES_PER_CATALOG) -> DataFr
             F.coalesce(has_body, F.lit(False)).alias("has_body"),
             F.when(has_body, F.from_json("body", PAGE_BODY)["data"]["products"]).alias("products"),
         )
-        .withColumn("readable", ~F.col("has_body") | F.col("products").isNotNull())
+        .withColumns(
+            {
+                "readable": ~F.col("has_body") | F.col("products").isNotNull(),
+                "listed": F.coalesce(F.size("products"), F.lit(0)),
+            }
+        )
     )
 
 
 def until_first_empty(parsed: DataFrame, per_page: int, cap: int) -> DataFrame:
     """Pages up to the first empty one of their catalog; rows beyond the place cap do not count."""
     room = F.lit(cap) - (F.col("page") - 1) * per_page
-    rows = F.greatest(F.lit(0), F.least(F.coalesce(F.size("products"), F.lit(0)), room))
+    rows = F.greatest(F.lit(0), F.least(F.col("listed"), room))
     empty = F.col("readable") & (rows == 0)
     # Only catalogs with replies beyond an empty page need the cut; normally there are none.
     cut = (
@@ -257,9 +268,10 @@ def page_rows(
     parsed: DataFrame, per_page: int = PRODUCTS_PER_PAGE, cap: int = POSITION_PLACE_CAP
 ) -> DataFrame:
     """One row per listed product with its place in the catalog, required fields not yet checked."""
+    # The outer form, because the inner one sends a size check, and with it the parse, down to the scan.
     listed = until_first_empty(parsed, per_page, cap).select(
-        *CATALOG_KEY, "page", "ingest_seq", F.posexplode("products").alias("_pos", "_p")
-    )
+        *CATALOG_KEY, "page", "ingest_seq", F.posexplode_outer("products").alias("_pos", "_p")
+    ).where(F.col("_pos").isNotNull())
     placed = listed.withColumn("place", (F.col("page") - 1) * per_page + F.col("_pos") + 1)
     return placed.where(F.col("place") <= cap).select(
         *CATALOG_KEY, "page", "ingest_seq", "place",
@@ -400,8 +412,8 @@ def parse_stocks(landing: DataFrame) -> DataFrame:
 def _stock_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("problem").isNull()).select(
         "snapshot_ts", "ingest_seq", "product_sku", "size_name", "walk",
-        F.posexplode("stocks").alias("_k", "_stock"),
-    ).select(
+        F.posexplode_outer("stocks").alias("_k", "_stock"),
+    ).where(F.col("_k").isNotNull()).select(
         "snapshot_ts", "ingest_seq", "product_sku", "size_name", F.array_append("walk", F.col("_k")).alias("walk"),
         exact_int(F.col("_stock.wh")).alias("warehouse_wb_id"),
         exact_int(F.col("_stock.qty")).alias("quantity"),

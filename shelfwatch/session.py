@@ -42,6 +42,15 @@ def local_session(name: str = "shelfwatch", cores: int | str = "*", partitions:
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores, such as one small file, to all of them.
+
+    For CPU-heavy work per row; a table of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def literal_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFrame:
     """One row that is planned as a constant, without a Python worker."""
     columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
