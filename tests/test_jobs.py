@@ -9,6 +9,7 @@ from shelfwatch.plans import jobs
 from shelfwatch.plans.jobs import RejectedRows, run_due, run_full, run_point
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.sources.warehouse import Warehouse
+from shelfwatch.streaming.snapshots import apply_stock_batch
 from shelfwatch.tables import TABLES
 
 LEVELS = [(101, "M", {1: 10, 2: 4}), (102, "L", {1: 6})]
@@ -130,25 +131,27 @@ def test_rejects_are_kept_or_refused(spark, warehouse, tmp_path):
 
 def test_upkeep_compacts_and_retains(spark, warehouse):
     days = [at(d, h) for d, h in ((1, 0), (1, 3), (1, 21), (2, 0), (2, 3))]
-    for i, ts in enumerate(days):
-        levels = [(101, "M", {1: 20 - 3 * i, 2: 4})]
-        run = run_full if ts.hour == 0 else run_point
-        run(warehouse, full_replies(ts, levels).frame(spark), ts)
+    levels = [(ts, 101, "M", 1, 20 - 3 * i) for i, ts in enumerate(days)]
+    apply_stock_batch(warehouse, spark.createDataFrame(levels, TABLES["stocks"].staging))
     assert warehouse.snapshot_times("stocks") == days
     run_full(warehouse, full_replies(at(3), [(101, "M", {1: 1})]).frame(spark), at(3))
     assert warehouse.snapshot_times("stocks") == [at(1), at(2), at(2, 3), at(3)]
     first_day = warehouse.read("orders", lambda t: t < at(2))
-    assert rows(first_day.selectExpr("date_format(timestamp,'ddHH')", "date_format(timestamp_to,'ddHH')", "quantity")) == [
-        ("0100", "0200", 9)
-    ]
-    before = {t: rows(warehouse.read(t)) for t in TABLES}
+    shown = first_day.selectExpr("date_format(timestamp,'ddHH')", "date_format(timestamp_to,'ddHH')", "quantity")
+    assert rows(shown) == [("0100", "0200", 9)]
+    histories = ("stocks", "orders", "refills")
+    before = {t: rows(warehouse.read(t)) for t in histories}
     assert jobs.compact(warehouse, at(3)) == at(1)
-    assert {t: rows(warehouse.read(t)) for t in TABLES} == before
+    assert {t: rows(warehouse.read(t)) for t in histories} == before
+    # A late snapshot of the compacted day is kept, but its pairs are not derived again.
+    jobs.rederive_changes(warehouse, [at(1)], frozen_before=at(2))
+    assert rows(warehouse.read("orders")) == before["orders"]
     jobs.retain(warehouse, at(31))
     assert warehouse.snapshot_times("stocks") == [at(1), at(2), at(2, 3), at(3)]
     jobs.retain(warehouse, at(31) + timedelta(days=1))
     assert warehouse.snapshot_times("stocks") == [at(2), at(2, 3), at(3)]
-    assert not warehouse.read("products").isEmpty()
+    # Every fact that is left still finds its dictionaries.
+    assert rows(warehouse.read("products"), "sku") == [(101,), (102,)]
     jobs.retain(warehouse, at(31) + timedelta(days=3))
     assert warehouse.read("products").isEmpty()
     assert warehouse.snapshot_times("stocks") == []
