@@ -283,16 +283,16 @@ def product_seller(spark, folder):
     products = table(spark, folder, "part").select(
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("snapshot_ts"), F.col("p_partkey").cast("int").alias("sku"), "p_name"
     )
-    return naive(E.with_seller(products, E.sellers_by_sku(seller_landing(spark, folder))))
+    return naive(E.with_seller(products, E.sellers_by_sku(E.parse_sellers(seller_landing(spark, folder)))))
 
 
 SELLER_QUERIES = {
     "seller_name_default": (
-        lambda spark, folder: naive(E.sellers_by_sku(seller_landing(spark, folder)).drop("ogrn", "ogrnip")),
+        lambda spark, folder: naive(E.sellers_by_sku(E.parse_sellers(seller_landing(spark, folder))).drop("ogrn", "ogrnip")),
         f"WITH {_SELLERS} SELECT snapshot_ts, sku, ingest_seq, wb_id, name, inn, address FROM found",
     ),
     "sellers": (
-        lambda spark, folder: naive(E.extract_sellers(E.sellers_by_sku(seller_landing(spark, folder)))),
+        lambda spark, folder: naive(E.extract_sellers(E.sellers_by_sku(E.parse_sellers(seller_landing(spark, folder))))),
         f"""WITH {_SELLERS}
         SELECT snapshot_ts, wb_id, name, 'https://images.wbstatic.net/shops/' || wb_id || '_logo.jpg' AS image_url,
                inn, CAST(NULL AS VARCHAR) AS ogrn, CAST(NULL AS VARCHAR) AS ogrnip, address

@@ -332,7 +332,8 @@ def extract_pages(landing: DataFrame) -> dict[str, DataFrame]:
 # --- sellers ----------------------------------------------------------------------------------------------
 
 
-def _parsed_sellers(landing: DataFrame) -> DataFrame:
+def parse_sellers(landing: DataFrame) -> DataFrame:
+    """Seller replies with their fields; a product without a seller (404) is absent."""
     found = replies(landing, "seller").where("code = 200")
     named = _parsed_once(found, "_json", F.from_json("body", SELLER_BODY, _BAD))
     return named.select(
@@ -341,14 +342,14 @@ def _parsed_sellers(landing: DataFrame) -> DataFrame:
         first_non_empty(F.col("_json.trademark"), F.col("_json.supplierName")).alias("name"),
         F.col("_json.inn").alias("inn"), F.col("_json.ogrn").alias("ogrn"),
         F.col("_json.ogrnip").alias("ogrnip"), F.col("_json.legalAddress").alias("address"),
-        (F.col("body").isNull() | F.col("_json._bad").isNotNull()).alias("_unreadable"),
+        (F.col("body").isNull() | F.col("_json._bad").isNotNull()).alias("unreadable"),
     )
 
 
-def sellers_by_sku(landing: DataFrame) -> DataFrame:
+def sellers_by_sku(parsed: DataFrame) -> DataFrame:
     """Seller of each product asked for; products without one are absent."""
-    named = _parsed_sellers(landing).where(F.col("name").isNotNull() & ~_any_null("sku", "wb_id"))
-    return distinct_on(named.drop("_unreadable"), ["snapshot_ts", "sku"], ["ingest_seq"])
+    named = parsed.where(F.col("name").isNotNull() & ~_any_null("sku", "wb_id"))
+    return distinct_on(named.drop("unreadable"), ["snapshot_ts", "sku"], ["ingest_seq"])
 
 
 def extract_sellers(by_sku: DataFrame) -> DataFrame:
@@ -358,12 +359,11 @@ def extract_sellers(by_sku: DataFrame) -> DataFrame:
     )
 
 
-def sellers_rejects(landing: DataFrame) -> DataFrame:
-    parsed = _parsed_sellers(landing)
-    bad = parsed.where(F.col("_unreadable") | (F.col("name").isNotNull() & _any_null("sku", "wb_id")))
+def sellers_rejects(parsed: DataFrame) -> DataFrame:
+    bad = parsed.where(F.col("unreadable") | (F.col("name").isNotNull() & _any_null("sku", "wb_id")))
     return reject(
         bad, "seller",
-        F.when(F.col("_unreadable"), F.lit("unreadable body")).otherwise(_names_of_null("sku", "wb_id")),
+        F.when(F.col("unreadable"), F.lit("unreadable body")).otherwise(_names_of_null("sku", "wb_id")),
         F.col("sku").cast("string"),
     )
 

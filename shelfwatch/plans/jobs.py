@@ -45,6 +45,11 @@ class RejectedRows(RuntimeError):
     """Strict mode met a reply or row it cannot use."""
 
 
+def _clean(parsed: DataFrame, *texts: str) -> DataFrame:
+    """Normalise texts that are keys of a history before its one-row-per-key choice, so the load needs none."""
+    return parsed.withColumns({name: normalise_text(F.col(name)) for name in texts})
+
+
 class SnapshotJob:
     """One snapshot time of one warehouse."""
 
@@ -74,9 +79,10 @@ class SnapshotJob:
         return bundle
 
     def stage_pages(self) -> dict[str, DataFrame]:
-        by_sku = self._written("sellers", E.sellers_by_sku(self.landing))
-        bundle = E.page_bundle(self._written("pages", E.parse_pages(self.landing)))
-        self.extraction_rejects += [bundle.pop("rejects"), E.sellers_rejects(self.landing)]
+        sellers = self._written("sellers", E.parse_sellers(self.landing))
+        by_sku = E.sellers_by_sku(sellers)
+        bundle = E.page_bundle(self._written("pages", _clean(E.parse_pages(self.landing), "shard", "query")))
+        self.extraction_rejects += [bundle.pop("rejects"), E.sellers_rejects(sellers)]
         bundle["sellers"] = E.extract_sellers(by_sku)
         bundle["products"] = E.with_seller(bundle["products"], by_sku)
         return bundle
@@ -88,7 +94,7 @@ class SnapshotJob:
             parsed = parsed.where("problem IS NOT NULL").unionByName(
                 parsed.where("problem IS NULL").join(wanted, "product_sku", "left_semi").select(*parsed.columns)
             )
-        bundle = E.stock_bundle(self._written("stocks", parsed))
+        bundle = E.stock_bundle(self._written("stocks", _clean(parsed, "size_name")))
         self.extraction_rejects.append(bundle.pop("rejects"))
         if warehouse_file is not None:
             body = read_warehouse_file(self.spark, warehouse_file)
@@ -146,7 +152,7 @@ class SnapshotJob:
         if self.strict:
             self._refuse(table, rejects)
         if spec.is_history:
-            self.warehouse.upsert_history(table, kept, [self.ts])
+            self.warehouse.upsert_history(table, kept, [self.ts], unique=True)
         else:
             self.warehouse.upsert_dictionary(table, kept)
         # The load counted its rejects in passing; only if there are any does the join run again to list them.
@@ -185,8 +191,14 @@ class SnapshotJob:
 
 def store_changes(warehouse: Warehouse, changes: DataFrame, older: list[datetime]) -> None:
     """Make the given changes the whole content of their older snapshots."""
-    for table, rows in zip(("orders", "refills"), split_changes(changes)):
-        warehouse.replace_history(table, rows, older)
+    orders, refills = split_changes(changes)
+    at_once(
+        warehouse.spark,
+        [
+            lambda: warehouse.replace_history("orders", orders, older),
+            lambda: warehouse.replace_history("refills", refills, older),
+        ],
+    )
 
 
 def rederive_changes(warehouse: Warehouse, touched: Iterable[datetime], frozen_before: datetime | None = None) -> None:

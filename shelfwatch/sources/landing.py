@@ -37,11 +37,17 @@ ACCEPTED_CODES = {
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(LANDING).format(fmt).load(path)
+    return spark.read.schema(LANDING).format(fmt).load(path).select(*LANDING.names)
+
+
+def append_landing(landing: DataFrame, path: str) -> None:
+    """Store replies so that a run reads the snapshot and endpoints it needs and nothing else."""
+    landing.select(*LANDING.names).write.mode("append").partitionBy("snapshot_ts", "endpoint").parquet(path)
 
 
 def stream_landing(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    return spark.readStream.schema(LANDING).format(fmt).options(**options).load(path)
+    stream = spark.readStream.schema(LANDING).format(fmt).options(**options).load(path)
+    return stream.select(*LANDING.names)
 
 
 def accepted() -> Column:

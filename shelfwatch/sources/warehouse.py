@@ -164,8 +164,13 @@ class Warehouse:
         rows.select(*spec.final.names).write.parquet(f"{self._data(spec.name)}/rev={rev}")
         self._switch(spec.name, number + 1, {_WHOLE: rev})
 
-    def upsert_history(self, table: str, staged: DataFrame, times: Iterable[datetime]) -> None:
-        """Upsert rows of the given snapshots; only snapshots that are already stored are read back."""
+    def upsert_history(
+        self, table: str, staged: DataFrame, times: Iterable[datetime], unique: bool = False
+    ) -> None:
+        """Upsert rows of the given snapshots; only snapshots that are already stored are read back.
+
+        ``unique`` says that the staged rows have one row per key, which spares a new snapshot the shuffle.
+        """
         times = list(times)
         spec = TABLES[table]
         _, parts = self._pointer(table)
@@ -174,7 +179,7 @@ class Warehouse:
         if stored:
             rows = merge_by_key(self._scan(spec, stored), fresh, spec.key)
         else:
-            rows = distinct_on(fresh, spec.key)
+            rows = fresh if unique else distinct_on(fresh, spec.key)
         self._write_history(spec, rows, set(map(part_of, times)), dropped=())
 
     def replace_history(self, table: str, rows: DataFrame, times: Iterable[datetime]) -> None:

@@ -3,7 +3,7 @@
 import json
 import tempfile
 
-from shelfwatch.sources.landing import LANDING, read_landing
+from shelfwatch.sources.landing import LANDING, append_landing, read_landing
 
 MENU = [
     {
@@ -69,7 +69,7 @@ class Replies:
     def frame(self, spark):
         """The replies as a Parquet landing table, as a job reads them."""
         path = tempfile.mkdtemp(prefix="landing-")
-        spark.createDataFrame(self.rows, LANDING).coalesce(1).write.mode("overwrite").parquet(path)
+        append_landing(spark.createDataFrame(self.rows, LANDING).coalesce(1), path)
         return read_landing(spark, path)
 
 

@@ -4,7 +4,7 @@ from conftest import at, rows
 from landing_fixture import MENU, Replies, page_body, product, stocks_body
 
 from shelfwatch.operators import extract as E
-from shelfwatch.sources.landing import read_warehouse_file, refused_replies, replies
+from shelfwatch.sources.landing import LANDING, read_warehouse_file, refused_replies, replies
 
 TS = at(1)
 
@@ -102,11 +102,11 @@ def test_sellers(spark):
     r.add("seller", None, code=404, sku=4)
     r.add("seller", json.dumps({"supplierName": "Y"}), sku=5)
     r.add("seller", "?", sku=6)
-    landing = r.frame(spark)
-    by_sku = E.sellers_by_sku(landing)
+    parsed = E.parse_sellers(r.frame(spark))
+    by_sku = E.sellers_by_sku(parsed)
     assert rows(by_sku, "sku", "wb_id", "name") == [(1, 5, "X"), (2, 5, "T")]
     assert rows(E.extract_sellers(by_sku), "wb_id", "name", "ogrn") == [(5, "X", None)]
-    assert rows(E.sellers_rejects(landing), "request", "reason") == [
+    assert rows(E.sellers_rejects(parsed), "request", "reason") == [
         ("5", "missing or inexact: wb_id"), ("6", "unreadable body"),
     ]
 
@@ -152,3 +152,12 @@ def test_accepted_codes(spark):
         ("code for queries",),
     ]
     assert sum(replies(landing, e).count() for e in ("catalog", "page", "seller", "stocks", "queries")) == 3
+
+
+def test_a_run_reads_its_own_part_of_the_landing(spark):
+    landing = Replies(TS).add("stocks", stocks_body((1, "M", {1: 1}))).add("page", page_body(product(1))).frame(spark)
+    wanted = replies(landing.where(landing.snapshot_ts == TS), "stocks")
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot_ts" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(wanted.inputFiles()) == 2 and wanted.count() == 1
+    assert landing.columns == LANDING.names

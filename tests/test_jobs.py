@@ -155,3 +155,11 @@ def test_upkeep_compacts_and_retains(spark, warehouse):
     jobs.retain(warehouse, at(31) + timedelta(days=3))
     assert warehouse.read("products").isEmpty()
     assert warehouse.snapshot_times("stocks") == []
+
+
+def test_runs_without_replies(spark, warehouse):
+    """Nothing came in: the runs end, and leave empty tables."""
+    nothing = full_replies(at(1), LEVELS).frame(spark).where("code = 0")
+    run_full(warehouse, nothing, at(1), strict=True)
+    run_point(warehouse, nothing, at(1, 3), strict=True)
+    assert all(warehouse.read(table).isEmpty() for table in TABLES)

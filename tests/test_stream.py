@@ -4,7 +4,7 @@ from landing_fixture import Replies, full_replies, stocks_body
 from pyspark.sql import functions as F
 
 from shelfwatch.plans.jobs import run_full, run_point
-from shelfwatch.sources.landing import stream_landing
+from shelfwatch.sources.landing import append_landing, stream_landing
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.snapshots import apply_stock_batch, stream_replies
 from shelfwatch.tables import TABLES
@@ -48,7 +48,7 @@ def test_stream_equals_batch(spark, tmp_path):
     path, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     landing = None
     for frame in frames:
-        frame.write.mode("append").parquet(path)
+        append_landing(frame, path)
         landing = stream_landing(spark, path)
         stream_replies(streamed, landing, checkpoint).awaitTermination()
     for table in TABLES:
