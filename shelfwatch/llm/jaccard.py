@@ -16,7 +16,6 @@ Set relations save the rest:
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +25,10 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm import text as tx
 from shelfwatch.llm.components import components
+from shelfwatch.llm.counters import count_cells
 from shelfwatch.llm.storage import Scratch
 
 CELLS = 1 << 22
-_PARTS = 64
 _KEYS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)
 
 
@@ -49,42 +48,13 @@ def _commonness(docs: DataFrame, words: int) -> np.ndarray:
     Tasks count into a fixed table and send it in compressed parts; the driver gets 2^22 counters.
     """
 
-    def count(batches):
-        cells = np.zeros(CELLS, np.int64)
-        held, size = [], 0
+    def cells(batches):
         for _, _, s in _sets(batches, words):
-            held.append(s)
-            size += len(s)
-            if size > 1 << 20:
-                cells += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-                held, size = [], 0
-        if held:
-            cells += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-        parts = [(k, p) for k, p in enumerate(np.split(cells, _PARTS)) if p.any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in parts], pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for _, p in parts], pa.binary())],
-            names=["part", "counts"],
-        )
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values = np.frombuffer(zlib.decompress(packed), np.int64)
-                sums[part] = sums[part] + values if part in sums else values
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())],
-            names=["part", "counts"],
-        )
+            yield (s & np.uint64(CELLS - 1)).astype(np.int64)
 
-    schema = "part int, counts binary"
-    summed = docs.mapInArrow(count, schema).repartition(_PARTS, "part").mapInArrow(add, schema)
-    cells = np.zeros((_PARTS, CELLS // _PARTS), np.int64)
-    for row in summed.collect():
-        cells[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
-    cells = cells.ravel()
-    mean = max(1.0, cells.mean())
-    return np.clip(np.floor(np.log2(np.maximum(cells, 1) / (2 * mean))) + 1, 0, 31).astype(np.uint8)
+    counts = count_cells(docs, CELLS, cells)
+    mean = max(1.0, counts.mean())
+    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))) + 1, 0, 31).astype(np.uint8)
 
 
 def _ordered(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:

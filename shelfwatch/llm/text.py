@@ -115,3 +115,38 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+SYMBOLS = 64
+
+
+def _symbol_table() -> np.ndarray:
+    """Symbol of every code point: 0 for what is no letter, 1-26 for a-z, 27-63 for other letters."""
+    table = np.zeros(0x110000, np.uint8)
+    for k in range(0x30000):
+        if chr(k).isalpha():
+            table[k] = k - 96 if 97 <= k <= 122 else 27 + (k * 2654435761 >> 7) % 37
+    return table
+
+
+_symbols: np.ndarray | None = None
+
+
+def symbol_table() -> np.ndarray:
+    global _symbols
+    if _symbols is None:
+        _symbols = _symbol_table()
+    return _symbols
+
+
+def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of lower-cased texts, each between two zeros, runs of zeros being one; and the bounds of the texts."""
+    points = np.frombuffer("\x00".join(["", *[t.lower() for t in texts], ""]).encode("utf-32-le", "replace"), np.uint32)
+    out = symbol_table()[points]
+    # A null character ends each text; one inside a text would move the bounds, so texts come without them.
+    ends = np.flatnonzero(points == 0)
+    keep = np.ones(len(out), bool)
+    keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
+    keep[ends] = True
+    place = np.cumsum(keep) - 1
+    return out[keep].astype(np.int64), place[ends]
