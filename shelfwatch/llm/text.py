@@ -19,6 +19,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Separators where punctuation doesn't count: all ASCII but letters and digits.
+PUNCTUATION = np.array([k < 128 and not chr(k).isalnum() for k in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 
@@ -66,12 +68,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         at = to
 
 
-def words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, row, first byte and byte after the last of every word of a slice."""
+def words(
+    raw: np.ndarray, bounds: np.ndarray, apart: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, row, first byte and byte after the last of every word of a slice; ``apart`` marks separating bytes."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~_SPACE[raw]
+    solid = ~apart[raw]
     before = np.empty(n, bool)
     before[0], before[1:] = False, solid[:-1]
     before[bounds[:-1][bounds[:-1] < n]] = False
