@@ -5,6 +5,8 @@ Operators cut lineage with written tables, so a lost executor repeats tasks, not
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwatch.session import scratch_folder
@@ -17,19 +19,24 @@ class Scratch:
         self.spark = spark
         self.folder = scratch_folder(spark, purpose)
         self._count = 0
-        self._paths: dict[int, str] = {}
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back; the result has no lineage but its files."""
         self._count += 1
         path = f"{self.folder}/{self._count:03d}-{name}"
         df.write.parquet(path)
+        self._release()
         # The schema is known: no job reads footers, and an empty table keeps its columns.
         stored = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(stored)] = path
         stored.scratch_path = path
         return stored
 
+    def _release(self) -> None:
+        """Let go of the shuffles of finished steps: Spark deletes their files when the driver has no use for them,
+        which it learns from its garbage collection alone."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete written tables that no later step reads."""
         for frame in frames:
