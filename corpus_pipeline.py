@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.decontaminate import drop_leaks
 from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.packing import pack
+from shelfwatch.llm.pii import redact
 from shelfwatch.llm.queries import remainder, table
 from shelfwatch.llm.storage import Scratch
 from shelfwatch.llm.toxicity import toxicity
@@ -29,6 +31,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, whole or edited."""
+    return drop_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind; ``n_chars`` follows the text."""
+    clean = redact(docs)
+    return clean.select(*[F.char_length("text").cast("bigint").alias(c) if c == "n_chars" else c for c in docs.columns])
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens."""
     return pack(
@@ -39,6 +52,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("toxicity", drop_toxic),
     ("near copies", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("personal data", redact_personal_data),
     ("packing", pack_sequences),
 ]
 

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import sql
+from shelfwatch.llm import pii, sql
+from shelfwatch.llm.decontaminate import find_leaks
 from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.langid import identify
 from shelfwatch.llm.packing import pack
@@ -22,6 +23,15 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *pii.digests(found))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -46,6 +56,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_leaks": (op2_leaks, None),
+    "op3_personal_data": (op3_personal_data, None),
     "op4_packing": (op4_packing, None),
     "op7_language": (op7_language, None),
     "op9_jaccard": (op9_jaccard, sql.OP9),
