@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import pii, sql
+from shelfwatch.llm import chat, pii, sql
 from shelfwatch.llm.decontaminate import find_leaks
 from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.langid import identify
@@ -45,6 +45,16 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(0, 2, 1, 1).select(
+        F.lit(-7).cast(turns.schema["conv_id"].dataType).alias("conv_id"), F.col("id").cast(turns.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"),
+    )
+    return chat.digests(chat.render(chat.fold(chat.events_of(turns.union(extra)))))
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, table(spark, sf_dir, "documents"))
 
@@ -60,6 +70,7 @@ QUERIES = {
     "op3_personal_data": (op3_personal_data, None),
     "op4_packing": (op4_packing, None),
     "op7_language": (op7_language, None),
+    "op8_chat": (op8_chat, sql.OP8),
     "op9_jaccard": (op9_jaccard, sql.OP9),
     "op10_toxicity": (op10_toxicity, None),
 }

@@ -29,3 +29,18 @@ WITH RECURSIVE worded AS (
 SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(smallest.component_id, sets.doc_id) AS component_id
 FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN smallest ON smallest.c = classes.c
 """
+
+OP8 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+    SELECT *, regexp_replace(role, '([\\#<:])', '\\\1', 'g') AS r, regexp_replace(text, '([\\#<])', '\\\1', 'g') AS t FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, r, t)) AS loss_sha256,
+    CAST(sum(length(r) + length(t) + 15) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
