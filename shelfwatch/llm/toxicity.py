@@ -10,8 +10,9 @@ fitted across two folds so that words seen once don't mislead it.
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections.abc import Iterable
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,10 @@ STANDS_FOR = {
 # Prices, in nats, of reading a sign as a letter, of skipping a separator, and of skipping a repeated letter.
 SIGN, SKIP, REPEAT = 1.5, 1.0, 0.5
 LONGEST_WORD = 64
-_CACHE = 200_000
+_CACHE = 300_000
 _SPACED = re.compile(r"(?<!\w)[^\W_](?:[\W_]{1,3}[^\W_](?!\w)){2,}")
 _EDGES = re.compile(r"^[^\w@$|!+(<€£¡]+|[\W_]+$")
-_STRETCHED = re.compile(r"(.)\1\1|[^\W\d_][^a-zA-Z\W\d_]*[\W\d_]+[^\W\d_]|^[\W\d_]+[^\W\d_]")
-_PLAIN = re.compile(r"[^\W\d_]+")
+_THRICE = re.compile(r"(.)\1\1")
 
 
 class Channel:
@@ -85,8 +85,10 @@ class Words:
         self.kept: dict[str, tuple[int, ...]] = {}
 
     def restored(self, token: str) -> str:
+        if token.isalpha():
+            return self.channel.restore(token) if len(token) <= LONGEST_WORD and _THRICE.search(token) else token
         bare = _EDGES.sub("", token)
-        if not bare or len(bare) > LONGEST_WORD or bare.isalpha() and not _STRETCHED.search(bare):
+        if len(bare) > LONGEST_WORD or bare.isalpha() and not _THRICE.search(bare):
             return bare
         letters = sum(map(str.isalpha, bare))
         if not letters or 2 * letters < len(bare) and not _SPACED.fullmatch(bare):
@@ -98,18 +100,21 @@ class Words:
         low = text.lower()
         return set(low.split()).union(m.group() for m in _SPACED.finditer(low))
 
+    def evidence_cells(self, token: str) -> tuple[int, ...]:
+        """Cells of a token: its restored word whole, its starts of 4 to 6 bytes, its last 4 bytes."""
+        word = self.restored(token).encode("utf-8", "replace")
+        if not word:
+            return ()
+        if len(word) <= 4:
+            return (crc32(word + b"$") % BUCKETS,)
+        return tuple({crc32(p) % BUCKETS for p in (word + b"$", word[:4], word[:5] + b" ", word[:6] + b"  ", b"^" + word[-4:])})
+
     def cells(self, token: str) -> tuple[int, ...]:
-        """Cells of a token: its restored word whole, its starts of 4 to 6 letters, its end."""
         found = self.kept.get(token)
         if found is None:
             if len(self.kept) >= _CACHE:
                 self.kept.clear()
-            word = self.restored(token)
-            parts = {word + "$"}
-            if len(word) > 4:
-                parts.update(word[:k] for k in (4, 5, 6) if k < len(word))
-                parts.add("^" + word[-4:])
-            found = self.kept[token] = tuple({zlib.crc32(p.encode("utf-8", "replace")) % BUCKETS for p in parts}) if word else ()
+            found = self.kept[token] = self.evidence_cells(token)
         return found
 
 
@@ -123,7 +128,7 @@ class Scorer:
     """Document features: the strongest evidence of its three strongest tokens."""
 
     def __init__(self, words: Words, table: np.ndarray) -> None:
-        self.words, self.table = words, table
+        self.words, self.table = words, array("f", table.tobytes())
         self.kept: dict[str, float] = {}
 
     def strongest(self, text: str) -> list[float]:
@@ -133,8 +138,7 @@ class Scorer:
             if s is None:
                 if len(kept) >= _CACHE:
                     kept.clear()
-                cells = self.words.cells(token)
-                s = kept[token] = float(self.table[list(cells)].max()) if cells else -5.0
+                s = kept[token] = max([self.table[c] for c in self.words.evidence_cells(token)], default=-5.0)
             scores.append(s)
         return [max(s, -5.0) for s in sorted(scores, reverse=True)[:3]] + [-5.0] * max(0, 3 - len(scores))
 
