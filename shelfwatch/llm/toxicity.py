@@ -240,7 +240,7 @@ def toxicity(
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = labels.where(learnable).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("toxic IN (0, 1)")
-    model = spark.sparkContext.broadcast(learn(spark, texts, texts.join(marks, "id").select("id", "text", "toxic")))
+    model = spark.sparkContext.broadcast(learn(spark, texts, texts.join(marks.hint("merge"), "id").select("id", "text", "toxic")))
     kept = docs.drop("score", "predicted")
     names = [*kept.columns, "score", "predicted"]
     at_text = kept.columns.index(text_col)
