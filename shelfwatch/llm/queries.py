@@ -11,6 +11,7 @@ from shelfwatch.llm.decontaminate import find_leaks
 from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.langid import identify
 from shelfwatch.llm.packing import pack
+from shelfwatch.llm.suffixlm import suffix_scores
 from shelfwatch.llm.toxicity import toxicity
 
 
@@ -39,6 +40,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_scores(spark, table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(spark, docs, F.coalesce(remainder(3) != 1, F.lit(False)))
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_leaks": (op2_leaks, None),
     "op3_personal_data": (op3_personal_data, None),
     "op4_packing": (op4_packing, None),
+    "op6_suffix_model": (op6_suffix_model, None),
     "op7_language": (op7_language, None),
     "op8_chat": (op8_chat, sql.OP8),
     "op9_jaccard": (op9_jaccard, sql.OP9),
