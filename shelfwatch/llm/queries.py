@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import chat, pii, sql
+from shelfwatch.llm.covertree import embedding_links
 from shelfwatch.llm.decontaminate import find_leaks
 from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.langid import identify
+from shelfwatch.llm.linkgraph import judge_urls
 from shelfwatch.llm.packing import pack
 from shelfwatch.llm.suffixlm import suffix_scores
 from shelfwatch.llm.toxicity import toxicity
@@ -24,6 +26,10 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,6 +46,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_suffix_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_scores(spark, table(spark, sf_dir, "documents"), remainder(7) == 2)
 
@@ -71,9 +81,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embeddings": (op1_embeddings, sql.OP1),
     "op2_leaks": (op2_leaks, None),
     "op3_personal_data": (op3_personal_data, None),
     "op4_packing": (op4_packing, None),
+    "op5_urls": (op5_urls, sql.OP5),
     "op6_suffix_model": (op6_suffix_model, None),
     "op7_language": (op7_language, None),
     "op8_chat": (op8_chat, sql.OP8),

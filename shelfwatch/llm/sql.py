@@ -44,3 +44,79 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(r) + length(t) + 15) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+
+_HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)"""
+
+
+def _ranks(name: str, start: str, source: str, target: str, rounds: int) -> str:
+    """One step of personalised PageRank after another, as common tables."""
+    steps = [
+        f"{name}_p AS (SELECT {source} AS s, {target} AS t, weight / sum(weight) OVER (PARTITION BY {source}) AS p FROM links)",
+        f"{name}_0 AS (SELECT host, {start} / nullif(sum({start}) OVER (), 0) AS seed, {start} / nullif(sum({start}) OVER (), 0) AS rank FROM hosts)",
+    ]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"{name}_{k} AS (SELECT h.host, any_value(h.seed) AS seed, 0.85 * coalesce(sum(r.rank * e.p), 0) + 0.15 * any_value(h.seed) AS rank "
+            f"FROM {name}_{k - 1} h LEFT JOIN {name}_p e ON e.t = h.host LEFT JOIN {name}_{k - 1} r ON r.host = e.s GROUP BY h.host)"
+        )
+    return ",\n".join(f"{x.split(' AS ', 1)[0]} AS MATERIALIZED {x.split(' AS ', 1)[1]}" for x in steps)
+
+
+OP5 = rf"""
+WITH rests AS (
+    SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS MATERIALIZED (
+    SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+), ruled AS MATERIALIZED (
+    SELECT page_id, host, path,
+        CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+             WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+             WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+             WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM parts
+), fixed AS (
+    SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS fixed FROM ruled
+), found AS (
+    SELECT host, regexp_extract_all(html, '{_HREF}', 1) AS l FROM parts WHERE host <> ''
+), each AS (
+    SELECT host, 1 / len(l) AS share, unnest(l) AS link FROM found WHERE len(l) > 0
+), ends AS (
+    SELECT host AS source, share, CASE WHEN link LIKE '//%' THEN 'http:' || link ELSE link END AS link FROM each
+), links AS MATERIALIZED (
+    SELECT source, target, sum(share) AS weight FROM (
+        SELECT source, share, CASE
+            WHEN regexp_matches(link, '(?i)^https?://') THEN lower(regexp_extract(link, '://([^/?#]*)', 1))
+            WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN '' ELSE source END AS target FROM ends
+    ) WHERE target <> '' GROUP BY ALL
+), seeds AS (
+    SELECT host, avg(CASE WHEN fixed = 'allow' THEN 1.0 ELSE 0.0 END) AS good, avg(CASE WHEN fixed = 'block' THEN 1.0 ELSE 0.0 END) AS bad
+    FROM fixed WHERE host <> '' GROUP BY host
+), hosts AS MATERIALIZED (
+    SELECT * FROM seeds UNION ALL SELECT DISTINCT target, 0.0::DOUBLE, 0.0::DOUBLE FROM links WHERE target NOT IN (SELECT host FROM seeds)
+), {_ranks("t", "good", "source", "target", 8)},
+{_ranks("d", "bad", "target", "source", 8)}
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN d.rank > t.rank + 1e-12 THEN 'block' ELSE 'allow' END) AS verdict
+FROM fixed LEFT JOIN t_8 t USING (host) LEFT JOIN d_8 d USING (host)
+"""
+
+
+OP1 = """
+WITH RECURSIVE parts AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), valid AS (
+    SELECT vec_id, v FROM parts WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+    SELECT vec_id, vec_id AS r FROM parts UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a
+), smallest AS (
+    SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+), degrees AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM smallest LEFT JOIN degrees USING (vec_id)
+"""
