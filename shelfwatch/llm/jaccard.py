@@ -7,7 +7,7 @@ is indexed, with positions (prefix and position filters).
 Set relations save the rest:
 
 * Equal sets are one vertex.
-* Near copies meet under two minimum hashes; each group checks its members against one leader, in linear
+* Near copies meet under four minimum hashes; each group checks its members against one leader, in linear
   work. Vertices that these links join have one answer: in the index a list keeps **one block per group**,
   with the bounds of its sizes and positions. A pair of blocks is skipped as a whole where the bounds exclude
   every pair, and a list with one block is never walked. Only blocks that remain are opened.
@@ -29,7 +29,7 @@ from shelfwatch.llm.counters import count_cells
 from shelfwatch.llm.storage import Scratch
 
 CELLS = 1 << 22
-_KEYS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)
+_KEYS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
@@ -43,7 +43,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
 
 
 def _commonness(docs: DataFrame, words: int) -> np.ndarray:
-    """Per cell, how many powers of two its count lies above twice the mean; 0 for ordinary cells.
+    """Per cell, how many powers of two its count lies above what chance explains; 0 for ordinary cells.
 
     Tasks count into a fixed table and send it in compressed parts; the driver gets 2^22 counters.
     """
@@ -53,8 +53,10 @@ def _commonness(docs: DataFrame, words: int) -> np.ndarray:
             yield (s & np.uint64(CELLS - 1)).astype(np.int64)
 
     counts = count_cells(docs, CELLS, cells)
-    mean = max(1.0, counts.mean())
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))) + 1, 0, 31).astype(np.uint8)
+    # Chance alone spreads the counts of ordinary cells about their mean by its square root.
+    noise = 4 * np.sqrt(max(1.0, counts.mean()))
+    above = (counts - counts.mean()) / noise
+    return np.where(above > 1, np.clip(np.floor(np.log2(np.maximum(above, 1))) + 1, 0, 31), 0).astype(np.uint8)
 
 
 def _ordered(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
