@@ -59,6 +59,33 @@ def count_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBat
     return out.ravel()
 
 
+def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatch]], Iterable[np.ndarray]]) -> np.ndarray:
+    """Packed bits of the cells below ``size`` that occur in the integer arrays that ``cells`` makes of ``df``.
+
+    Like ``count_cells``, with a bit a cell. ``size`` is a multiple of 512."""
+
+    def mark(batches):
+        marks = np.zeros(size, bool)
+        for found in cells(batches):
+            marks[found] = True
+        for k, part in enumerate(np.split(np.packbits(marks), _PARTS)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["part", "counts"])
+
+    def join(batches):
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                bits = np.frombuffer(zlib.decompress(packed), np.uint8)
+                parts[part] = parts[part] | bits if part in parts else bits
+        yield _packed(parts)
+
+    out = np.zeros((_PARTS, size // 8 // _PARTS), np.uint8)
+    for row in df.mapInArrow(mark, _SCHEMA).repartition(_PARTS, "part").mapInArrow(join, _SCHEMA).collect():
+        out[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
+    return out.ravel()
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 30) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton steps; the first weight is the intercept."""
     x = np.column_stack([np.ones(len(x)), x])

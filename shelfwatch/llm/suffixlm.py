@@ -9,9 +9,9 @@ them. A kept context predicts by absolute discounting with its parent:
 
 Followers seen once, and rare words, are left to the parent, so g(s) is what remains. A text's log probability under its
 longest kept suffixes is then a sum over its words, word pairs and word triples of one number each,
-which is joined to them by hash: neither the model nor a text's neighbours are gathered anywhere. Fixed-size
-bit tables (2^22) of candidate keys let tasks skip pairs and triples that can't be in the model; a wrong bit only
-costs a row.
+which is joined to them by hash: neither the model nor a text's neighbours are gathered anywhere. Bit tables of
+the keys (eight bits a key, 2^29 at most) let tasks skip pairs and triples that can't be in the model; a wrong bit
+only costs a row.
 """
 
 from __future__ import annotations
@@ -20,15 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import text as tx
-from shelfwatch.llm.counters import count_cells
+from shelfwatch.llm.counters import mark_cells
 from shelfwatch.llm.storage import Scratch
 
-BITS = 1 << 22
+# Bit tables: smallest and largest number of bits.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 DISCOUNT = 0.75
 # A context, and a word as a follower, must have been seen this often in training.
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
@@ -69,7 +71,8 @@ def _join(*parts: np.ndarray) -> np.ndarray:
 
 
 def _bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return bits[(keys & np.uint64(BITS - 1)).astype(np.int64)]
+    cell = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
 
 
 def _grams(tokens: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -85,12 +88,14 @@ def _grams(tokens: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray,
 
 def _bits(spark: SparkSession, keys: DataFrame):
     """Broadcast bit table of the column ``key``."""
+    keys = keys.select("key")
+    size = min(max(LEAST_BITS, 1 << (8 * keys.count() + 1).bit_length()), MOST_BITS)
 
     def cells(batches):
         for batch in batches:
-            yield batch.column(0).to_numpy(zero_copy_only=False) & (BITS - 1)
+            yield batch.column(0).to_numpy(zero_copy_only=False) & (size - 1)
 
-    return spark.sparkContext.broadcast(count_cells(keys.select("key"), BITS, cells) > 0)
+    return spark.sparkContext.broadcast(mark_cells(keys, size, cells))
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -110,11 +115,14 @@ def _gram_counts(texts: DataFrame, size: int, contexts, words) -> DataFrame:
             _, context, suffix, word, key = _grams(tokens, row, size)
             keep = _bit(contexts.value, context) & _bit(words.value, word)
             keys, first, n = np.unique(key[keep], return_index=True, return_counts=True)
-            columns = [keys, context[keep][first], suffix[keep][first], word[keep][first]]
-            yield pa.RecordBatch.from_arrays([*[pa.array(tx.signed(c)) for c in columns], pa.array(n)], names=["key", "context", "suffix", "word", "n"])
+            columns = [keys, context[keep][first], word[keep][first], *([suffix[keep][first]] if size > 2 else [])]
+            yield pa.RecordBatch.from_arrays([*[pa.array(tx.signed(c)) for c in columns], pa.array(n)], names=[*names, "n"])
 
-    found = texts.mapInArrow(rows, "key bigint, context bigint, suffix bigint, word bigint, n bigint")
-    return found.groupBy("key", "context", "suffix", "word").agg(F.sum("n").alias("c")).where("c >= 2")
+    # A pair's suffix is its word.
+    names = ["key", "context", "word", *(["suffix"] if size > 2 else [])]
+    found = texts.mapInArrow(rows, ", ".join(f"{c} bigint" for c in [*names, "n"]))
+    counts = found.groupBy(*names).agg(F.sum("n").alias("c")).where("c >= 2")
+    return counts if size > 2 else counts.withColumn("suffix", F.col("word"))
 
 
 def _level(grams: DataFrame, contexts: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -139,8 +147,8 @@ def _level(grams: DataFrame, contexts: DataFrame, below: DataFrame) -> tuple[Dat
 
 
 def _occurrences(rows: DataFrame, id_type: str, pairs, triples) -> DataFrame:
-    """Rows of two kinds: a text's ``(uid, id, n)``, and ``(key, word, uid, places)`` of a key in a chunk of texts from
-    ``uid`` on; ``places`` holds a 32-bit number for each text, its place times 256 plus the count there."""
+    """Rows of two kinds: a text's ``(uid, id, held_out, n)`` under a key of its own, and ``(key, word, uid, places)`` of a
+    key in a chunk of texts from ``uid`` on; ``places`` has a 32-bit number for each, its place times 256 plus the count."""
     names = ["uid", "id", "held_out", "n", "key", "word", "places"]
 
     def out(batches):
@@ -148,9 +156,9 @@ def _occurrences(rows: DataFrame, id_type: str, pairs, triples) -> DataFrame:
         for first, owners, tokens, row in _tokens(batches):
             sizes = np.bincount(row)
             uid = base + first + np.arange(len(sizes))
-            nothing = [pa.nulls(len(sizes), t) for t in (pa.int64(), pa.bool_(), pa.binary())]
+            own = [pa.array(tx.signed(tx.mix(uid.astype(np.uint64)))), pa.array(np.zeros(len(sizes), bool)), pa.nulls(len(sizes), pa.binary())]
             ids, held = (pa.chunked_array([b.column(k) for b in owners]).combine_chunks() for k in (1, 2))
-            yield pa.RecordBatch.from_arrays([pa.array(uid), ids, held, pa.array(sizes), *nothing], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(uid), ids, held, pa.array(sizes), *own], names=names)
             found = [(row, tokens, True)]
             for size, bits in ((2, pairs), (3, triples)):
                 at, _, _, _, key = _grams(tokens, row, size)
@@ -187,25 +195,40 @@ def _occurrences(rows: DataFrame, id_type: str, pairs, triples) -> DataFrame:
     return rows.mapInArrow(out, f"uid bigint, id {id_type}, held_out boolean, n bigint, key bigint, word boolean, places binary")
 
 
-def _sums(joined: DataFrame, unseen: float) -> DataFrame:
-    """Per text, the sums of base, score and known tokens of a partition's keys."""
+def _sums(joined: DataFrame, id_type: str, unseen: float) -> DataFrame:
+    """Per text, the sums of base, score and known tokens of a batch of keys; a text's own row keeps its id."""
+    sums = ["base", "score", "known"]
 
     def rows(batches):
         for batch in batches:
-            uid, places, word, base, value = batch.columns
-            sizes = np.array([len(p) // 4 for p in places.to_pylist()])
-            packed = np.frombuffer(b"".join(places.to_pylist()), "<u4").astype(np.int64)
-            owner = np.repeat(uid.to_numpy(), sizes) + (packed >> 8)
+            texts_own = batch.filter(pc.is_null(batch.column("places")))
+            zeros = [pa.array(np.zeros(texts_own.num_rows))] * 3
+            yield pa.RecordBatch.from_arrays([*(texts_own.column(c) for c in own), *zeros], names=[*own, *sums])
+            batch = batch.filter(pc.is_valid(batch.column("places")))
+            places = batch.column("places").to_pylist()
+            sizes = np.array([len(p) // 4 for p in places], np.int64)
+            packed = np.frombuffer(b"".join(places), "<u4").astype(np.int64)
+            owner = np.repeat(batch.column("uid").to_numpy(), sizes) + (packed >> 8)
             count = packed & 255
-            is_word = word.to_numpy(zero_copy_only=False).astype(bool)
-            known = ~np.isnan(base.to_numpy(zero_copy_only=False))
-            base_of = np.where(is_word, np.where(known, np.nan_to_num(base.to_numpy(zero_copy_only=False)), unseen), 0.0)
-            value_of = np.nan_to_num(value.to_numpy(zero_copy_only=False)) + base_of
+            is_word = batch.column("word").to_numpy(zero_copy_only=False).astype(bool)
+            base = batch.column("base").to_numpy(zero_copy_only=False).astype(float)
+            value = batch.column("value").to_numpy(zero_copy_only=False).astype(float)
+            known = ~np.isnan(base)
+            base_of = np.where(is_word, np.where(known, np.nan_to_num(base), unseen), 0.0)
+            parts = (base_of, np.nan_to_num(value) + base_of, (known & is_word).astype(float))
             texts, at = np.unique(owner, return_inverse=True)
-            sums = [np.bincount(at, np.repeat(v, sizes) * count) for v in (base_of, value_of, (known & is_word).astype(float))]
-            yield pa.RecordBatch.from_arrays([pa.array(texts), *map(pa.array, sums)], names=["uid", "base", "score", "known"])
+            nothing = [pa.nulls(len(texts), f.type) for f in (batch.schema.field(c) for c in own[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts), *nothing, *[pa.array(np.bincount(at, np.repeat(v, sizes) * count, len(texts))) for v in parts]],
+                names=[*own, *sums],
+            )
 
-    return joined.select("uid", "places", "word", "base", "value").mapInArrow(rows, "uid bigint, base double, score double, known double")
+    own = ["uid", "id", "held_out", "n"]
+    schema = f"uid bigint, id {id_type}, held_out boolean, n bigint, base double, score double, known double"
+    found = joined.select(*own, "places", "word", "base", "value").mapInArrow(rows, schema)
+    # Only a text's own row has its mark and number of tokens.
+    mark = F.max(F.when(F.col("n").isNotNull(), F.struct("n", "held_out"))).alias("mark")
+    return found.groupBy("uid").agg(F.first("id", ignorenulls=True).alias("id"), mark, *[F.sum(c).alias(c) for c in sums])
 
 
 def suffix_scores(
@@ -263,14 +286,10 @@ def suffix_scores(
     longer_values = values.union(values3).select("key", F.lit(False).alias("word"), F.lit(None).cast("double").alias("base"), "value")
     model = unigram.union(longer_values)
 
-    seen = scratch.store(_occurrences(rows, id_type, _bits(spark, values), _bits(spark, values3)), "occurrences")
-    joined = seen.where("places IS NOT NULL").join(model, ["key", "word"], "left")
-    unseen = -float(np.log10(n + v + 1))
-    sums = _sums(joined, unseen).groupBy("uid").agg(F.sum("base").alias("base"), F.sum("score").alias("score"), F.sum("known").alias("known"))
-    return (
-        seen.where("places IS NULL").select("uid", "id", "held_out", "n").join(sums, "uid", "left")
-        .select(
-            F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
-            F.lit(n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score",
-        )
+    seen = _occurrences(rows, id_type, _bits(spark, values), _bits(spark, values3))
+    joined = seen.join(model.hint("merge"), ["key", "word"], "left")
+    sums = _sums(joined, id_type, -float(np.log10(n + v + 1)))
+    return sums.select(
+        F.col("id").alias(id_col), "mark.held_out", F.col("mark.n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
+        F.lit(n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
