@@ -15,7 +15,7 @@ from shelfwatch.operators import extract as E
 from shelfwatch.session import spread
 from shelfwatch.sources.landing import LANDING, refused_replies, replies
 
-_PLACE_CAP = 1801
+_PLACE_CAP = E.POSITION_PLACE_CAP
 
 
 def as_landing(df: DataFrame, **columns) -> DataFrame:
@@ -116,7 +116,7 @@ def image_sql(sku: str) -> str:
 
 def _page_part(name: str):
     def query(spark, folder):
-        return naive(E.page_bundle(E.parse_pages(page_landing(spark, folder)), cap=_PLACE_CAP)[name])
+        return naive(E.extract_pages(page_landing(spark, folder))[name])
 
     return query
 
@@ -166,7 +166,7 @@ PAGE_QUERIES = {
     ),
     "first_empty_page": (
         lambda spark, folder: naive(
-            E.until_first_empty(E.parse_pages(page_landing(spark, folder)), E.PRODUCTS_PER_PAGE, _PLACE_CAP)
+            E.until_first_empty(E.written_pages(page_landing(spark, folder)), E.PRODUCTS_PER_PAGE, _PLACE_CAP)
             .select("snapshot_ts", "shard", "query", "page", "ingest_seq")
         ),
         f"WITH {_PAGES} SELECT snapshot_ts, shard, query, page, ingest_seq FROM kept",

@@ -21,12 +21,15 @@ from shelfwatch.functions.scalars import (
 )
 from shelfwatch.functions.urls import brand_image_url, product_image_url, seller_image_url
 from shelfwatch.operators.dedupe import distinct_on
+from shelfwatch.session import scratch_folder
 from shelfwatch.sources.landing import reject, replies
 
 # Catalog paging and the menu's path rules.
 PRODUCTS_PER_PAGE = 300
 PAGES_PER_CATALOG = 17
 POSITION_PLACE_CAP = 5000
+# Rows of catalog keys that may be sent to every task: some ten megabytes.
+SENT_ROWS = 100_000
 CATEGORY_START = "/catalog"
 CATEGORY_SEPARATOR = "/"
 
@@ -155,7 +158,12 @@ def extract_queries(landing: DataFrame) -> DataFrame:
 
 
 def queries_rejects(landing: DataFrame) -> DataFrame:
-    return reject(replies(landing, "queries").where(_query_texts().isNull()), "queries", "unreadable body")
+    """Unreadable replies, and replies with a null text in their list; their other texts are kept."""
+    listed = replies(landing, "queries").withColumn("_texts", _query_texts())
+    reason = F.when(F.col("_texts").isNull(), "unreadable body").otherwise("null text")
+    return reject(
+        listed.where(F.col("_texts").isNull() | F.exists("_texts", lambda text: text.isNull())), "queries", reason,
+    )
 
 
 def _parsed_catalogs(landing: DataFrame) -> DataFrame:
@@ -225,14 +233,15 @@ def category_bundle(bound: DataFrame) -> dict[str, DataFrame]:
 def parse_pages(landing: DataFrame, max_page: int = PAGES_PER_CATALOG) -> DataFrame:
     """Page replies with their product array and its length.
 
-    ``readable`` is false for a body that is not a product list.
+    ``readable`` is false for a body that is not a product list, ``in_range`` for a page that no run asks for;
+    such a page lists nothing.
     """
-    has_body = (F.col("code") == 200) & (F.col("body") != "")
+    in_range = F.coalesce(F.col("page").between(1, max_page), F.lit(False))
+    has_body = in_range & (F.col("code") == 200) & (F.col("body") != "")
     return (
         replies(landing, "page")
-        .where(F.col("page").between(1, max_page))
         .select(
-            *CATALOG_KEY, "page", "ingest_seq",
+            *CATALOG_KEY, "page", "ingest_seq", in_range.alias("in_range"),
             F.coalesce(has_body, F.lit(False)).alias("has_body"),
             F.when(has_body, F.from_json("body", PAGE_BODY)["data"]["products"]).alias("products"),
         )
@@ -246,7 +255,12 @@ def parse_pages(landing: DataFrame, max_page: int = PAGES_PER_CATALOG) -> DataFr
 
 
 def until_first_empty(parsed: DataFrame, per_page: int, cap: int) -> DataFrame:
-    """Pages up to the first empty one of their catalog; rows beyond the place cap do not count."""
+    """Pages up to the first empty one of their catalog; rows beyond the place cap do not count.
+
+    ``parsed`` is a written table: the cut reads its small columns first. Only a cut too large to send to the tasks
+    makes the product arrays move.
+    """
+    parsed = parsed.where("in_range")
     room = F.lit(cap) - (F.col("page") - 1) * per_page
     rows = F.greatest(F.lit(0), F.least(F.col("listed"), room))
     empty = F.col("readable") & (rows == 0)
@@ -257,6 +271,11 @@ def until_first_empty(parsed: DataFrame, per_page: int, cap: int) -> DataFrame:
         .where("_empty < _last")
         .select(*[F.col(c).alias(f"_{c}") for c in CATALOG_KEY], "_empty")
     )
+    size = cut.count()
+    if not size:
+        return parsed
+    if size <= SENT_ROWS:
+        cut = F.broadcast(cut)
     same = [F.col(c) == F.col(f"_{c}") for c in CATALOG_KEY]
     return parsed.join(cut, [*same, F.col("page") > F.col("_empty")], "left_anti")
 
@@ -293,7 +312,8 @@ def page_bundle(
     rows = page_rows(parsed, per_page, cap)
     good = rows.where(~_any_null(*_PAGE_FIELDS, "shard", "query"))
     first = ["page", "place", "shard", "query", "ingest_seq"]
-    unreadable = parsed.where(~F.col("readable"))
+    unusable = parsed.where(~F.col("readable") | ~F.col("in_range"))
+    problem = F.when(F.col("in_range"), "unreadable body").otherwise("page out of range")
     page_request = F.concat_ws(" ", "shard", "query", F.col("page").cast("string"))
     return {
         "brands": distinct_on(
@@ -321,12 +341,20 @@ def page_bundle(
             rows.where(_any_null(*_PAGE_FIELDS, "shard", "query")), "page",
             _names_of_null(*_PAGE_FIELDS, "shard", "query"),
             F.concat_ws(" ", page_request, F.lit("place"), F.col("place").cast("string")),
-        ).unionByName(reject(unreadable, "page", "unreadable body", page_request)),
+        ).unionByName(reject(unusable, "page", problem, page_request)),
     }
 
 
 def extract_pages(landing: DataFrame) -> dict[str, DataFrame]:
-    return page_bundle(parse_pages(landing))
+    return page_bundle(written_pages(landing))
+
+
+def written_pages(landing: DataFrame) -> DataFrame:
+    """The page parse as a written table below the scratch folder, for the tables that are made of it."""
+    parsed = parse_pages(landing)
+    path = scratch_folder(landing.sparkSession, "pages")
+    parsed.write.parquet(path)
+    return landing.sparkSession.read.schema(parsed.schema).parquet(path)
 
 
 # --- sellers ----------------------------------------------------------------------------------------------

@@ -23,8 +23,8 @@ from shelfwatch.operators.compact import compact_changes, compaction_day
 from shelfwatch.operators.resolve import resolve
 from shelfwatch.operators.retention import active_products, keep_seen_since, retention_edge
 from shelfwatch.plans.manifest import Manifest
-from shelfwatch.session import scratch_folder
-from shelfwatch.sources.landing import read_warehouse_file, refused_replies
+from shelfwatch.session import delete_folder, scratch_folder
+from shelfwatch.sources.landing import ACCEPTED_CODES, read_warehouse_file, refused_replies, reject, replies
 from shelfwatch.sources.warehouse import Warehouse, part_of
 from shelfwatch.tables import DICTIONARIES, FULL_IMPORT_WAVES, HISTORIES, POINT_IMPORT_WAVES, TABLES, TableSpec
 
@@ -68,6 +68,10 @@ class SnapshotJob:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        """Delete what the job wrote to the scratch folder."""
+        delete_folder(self.spark, self.scratch)
+
     # --- staging ------------------------------------------------------------------------------------------
 
     def stage_sources(self) -> dict[str, DataFrame]:
@@ -91,8 +95,10 @@ class SnapshotJob:
         parsed = E.parse_stocks(self.landing)
         if only is not None:
             wanted = only.select(F.col("sku").alias("product_sku"))
-            parsed = parsed.where("problem IS NOT NULL").unionByName(
-                parsed.where("problem IS NULL").join(wanted, "product_sku", "left_semi").select(*parsed.columns)
+            # One scan and one parse: rows with a problem stay beside those of wanted products.
+            parsed = (
+                parsed.join(wanted.distinct().withColumn("_wanted", F.lit(True)), "product_sku", "left")
+                .where("problem IS NOT NULL OR _wanted").select(*parsed.columns)
             )
         bundle = E.stock_bundle(self._written("stocks", _clean(parsed, "size_name")))
         self.extraction_rejects.append(bundle.pop("rejects"))
@@ -136,12 +142,23 @@ class SnapshotJob:
             self._refuse("extraction", rejects)
         self._keep_rejects("extraction", rejects)
 
+    def refuse_all(self, reason: str) -> None:
+        """Make every reply of the snapshot a reject."""
+        self.extraction_rejects = [
+            reject(replies(self.landing, endpoint), endpoint, reason) for endpoint in ACCEPTED_CODES
+        ]
+        rejects = reduce(DataFrame.unionByName, self.extraction_rejects)
+        if self.strict:
+            self._refuse("late", rejects)
+        self._keep_rejects("late", rejects)
+
     def _refuse(self, stage: str, rejects: DataFrame) -> None:
         sample = rejects.limit(1).collect()
         if sample:
             raise RejectedRows(f"{stage}: {sample[0].asDict()}")
 
-    def load(self, table: str, rows: DataFrame) -> None:
+    def load(self, table: str, rows: DataFrame, replace: bool = False) -> None:
+        """Upsert, or with ``replace`` make the rows the whole content of the snapshot in a history."""
         spec = TABLES[table]
         dictionaries = {
             name: self.warehouse.read(name)
@@ -151,7 +168,9 @@ class SnapshotJob:
         kept, rejects, count = resolve(self.staged(spec, rows), spec, dictionaries, Observation(f"{table}_rejects"))
         if self.strict:
             self._refuse(table, rejects)
-        if spec.is_history:
+        if spec.is_history and replace:
+            self.warehouse.replace_history(table, kept, [self.ts])
+        elif spec.is_history:
             self.warehouse.upsert_history(table, kept, [self.ts], unique=True)
         else:
             self.warehouse.upsert_dictionary(table, kept)
@@ -159,14 +178,16 @@ class SnapshotJob:
         if count.get["rejected"]:
             self._keep_rejects(table, rejects)
 
-    def load_all(self, waves: Waves, frames: Mapping[str, DataFrame], manifest: Manifest | None) -> None:
+    def load_all(
+        self, waves: Waves, frames: Mapping[str, DataFrame], manifest: Manifest | None, replace: bool = False
+    ) -> None:
         done = manifest.done(self.ts) if manifest else set()
         for wave in waves:
             todo = [t for t in wave if t in frames and ("import", t) not in done]
             loaded: list[str] = []
 
             def load(table: str) -> None:
-                self.load(table, frames[table])
+                self.load(table, frames[table], replace)
                 loaded.append(table)
 
             try:
@@ -220,6 +241,7 @@ def rederive_changes(warehouse: Warehouse, touched: Iterable[datetime], frozen_b
     derived = history_changes(warehouse.at("stocks", *taking_part), spark.createDataFrame(pairs, schema))
     derived.write.parquet(path)
     store_changes(warehouse, spark.read.schema(derived.schema).parquet(path), [a for a, _ in pairs])
+    delete_folder(spark, path)
 
 
 # --- upkeep -----------------------------------------------------------------------------------------------
@@ -244,7 +266,10 @@ def compact(warehouse: Warehouse, day: datetime) -> datetime | None:
 
 
 def retain(warehouse: Warehouse, day: datetime) -> None:
-    """Drop dictionary rows last seen, and history days that start, before the edge."""
+    """Drop dictionary rows last seen, and history days that start, before the edge.
+
+    Files stay for readers that opened the tables before; ``Warehouse.vacuum`` deletes them later, outside a run.
+    """
     edge = retention_edge(day)
     for table in DICTIONARIES:
         rows = warehouse.read(table)
@@ -252,7 +277,6 @@ def retain(warehouse: Warehouse, day: datetime) -> None:
             warehouse.replace_dictionary(table, keep_seen_since(rows, F.lit(edge)))
     for table in HISTORIES:
         warehouse.drop_history(table, lambda ts: ts < edge)
-    warehouse.vacuum()
 
 
 # --- runs -------------------------------------------------------------------------------------------------
@@ -285,6 +309,7 @@ def run_full(
                 step()
                 manifest.mark(job.ts, "step", name)
     manifest.mark(job.ts, "finish", "full")
+    job.close()
 
 
 def run_point(
@@ -305,6 +330,35 @@ def run_point(
         job.derive_changes(job.ts)
         manifest.mark(job.ts, "step", "changes")
     manifest.mark(job.ts, "finish", "point")
+    job.close()
+
+
+def run_again(
+    warehouse: Warehouse, landing: DataFrame, ts: datetime, warehouse_file: str | None = None, strict: bool = False
+) -> None:
+    """Late or further replies of a snapshot: its job on all its replies, its history replaced, its pairs derived anew.
+
+    It stays a full or a point run as it began; one that never began is full if no run of its day was. A snapshot of a
+    compacted day can't be taken in, as the day's changes are summed: its replies become rejects.
+    """
+    manifest = Manifest(warehouse)
+    job = SnapshotJob(warehouse, landing, ts, strict)
+    stored = warehouse.snapshot_times("stocks")
+    compacted = compaction_day(stored, midnight(stored[-1])) if stored else None
+    frozen = compacted.end if compacted else None
+    if frozen is not None and job.ts < frozen:
+        job.refuse_all("day is compacted")
+        return
+    done = manifest.done(job.ts)
+    if ("begin", "full") in done or ("begin", "point") not in done and not manifest.full_done(job.ts):
+        job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), None, replace=True)
+    else:
+        today = active_products(warehouse.read("products"), F.lit(midnight(job.ts)))
+        frames = job.stage_stocks(today, warehouse_file)
+        job.keep_extraction_rejects()
+        job.load_all(POINT_IMPORT_WAVES, frames, None, replace=True)
+    rederive_changes(warehouse, [job.ts], frozen_before=frozen)
+    job.close()
 
 
 def run_due(

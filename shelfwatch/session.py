@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # A menu may have any number of nodes; the default stops at a million.
     "spark.sql.cteRecursionRowLimit": "-1",
+    # Nor is its depth bounded.
+    "spark.sql.cteRecursionLevelLimit": "-1",
 }
 
 
@@ -61,6 +63,11 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return literal_row(spark, schema, dict.fromkeys(schema.names)).where(F.lit(False))
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """New folder below the cluster's ``spark.checkpoint.dir``.
 

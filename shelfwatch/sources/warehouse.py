@@ -15,9 +15,11 @@ without reading older ones, and choosing snapshots, dropping or compacting them
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,14 +66,21 @@ class Files:
             stream.close()
 
     def create(self, file: str, text: str) -> None:
-        """Write a new file in one step; fails if it exists."""
+        """Write a new file; fails if it exists, also where a rename would overwrite."""
         fs, target = self._open(file)
-        _, draft = self._open(f"{file}.draft")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"{file} was written by another job")
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as error:
+            raise RuntimeError(f"{file} was written by another job") from error
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def changed(self, file: str) -> float:
+        """Seconds since the epoch of the last change."""
+        fs, path = self._open(file)
+        return fs.getFileStatus(path).getModificationTime() / 1000
 
     def delete(self, folder: str) -> None:
         fs, path = self._open(folder)
@@ -217,14 +226,21 @@ class Warehouse:
         if kept != parts:
             self._switch(table, number + 1, kept)
 
-    def vacuum(self, keep_pointers: int = 2) -> None:
-        """Delete files no kept pointer names; readers may use a pointer as long as it is kept."""
+    def vacuum(self, keep_hours: float = 48) -> None:
+        """Delete files that only pointers replaced more than ``keep_hours`` ago name.
+
+        A frame stays readable for so long after the table changed. Not part of a run; no run may go on beside it.
+        """
+        edge = time.time() - 3600 * keep_hours
         for table in TABLES:
             numbers = sorted(self._pointers(table))
-            for number in numbers[:-keep_pointers]:
+            # A pointer was replaced when the next one was made.
+            made = {n: self.files.changed(f"{self.root}/{table}/pointer/{n:010d}.json") for n in numbers}
+            old = [n for n, following in zip(numbers, numbers[1:]) if made[following] < edge]
+            for number in old:
                 self.files.delete(f"{self.root}/{table}/pointer/{number:010d}.json")
             live: set[tuple[int, str]] = set()
-            for number in numbers[-keep_pointers:]:
+            for number in numbers[len(old):]:
                 parts = json.loads(self.files.read(f"{self.root}/{table}/pointer/{number:010d}.json"))
                 live |= {(rev, part) for part, rev in parts.items()}
             live_revisions = {rev for rev, _ in live}

@@ -1,7 +1,7 @@
 """The snapshot chain as a stream: file source, one micro-batch per trigger, idempotent ``foreachBatch``.
 
 The checkpoint replays a failed batch, and every load is an upsert by key and snapshot, so a replay changes
-nothing. A snapshot that arrives late or again is merged and the pairs around it are derived anew.
+nothing. A snapshot that arrives late or again is run on all its replies and the pairs around it are derived anew.
 """
 
 from __future__ import annotations
@@ -12,22 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwatch.functions.calendar import midnight, utc
-from shelfwatch.operators.compact import compaction_day
-from shelfwatch.plans.jobs import SnapshotJob, rederive_changes, run_full, run_point
+from shelfwatch.functions.calendar import point_floor, utc
+from shelfwatch.plans.jobs import rederive_changes, run_again, run_full, run_point
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.sources.warehouse import Warehouse
-from shelfwatch.tables import FULL_IMPORT_WAVES
-
-# Grid times of one micro-batch: more than three years of snapshots means the times are not on the grid.
-_MAX_SNAPSHOTS = 10_000
-
 
 def batch_times(batch: DataFrame, column: str) -> list[datetime]:
-    text = F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias("ts")
-    rows = batch.select(text).distinct().limit(_MAX_SNAPSHOTS + 1).collect()
-    if len(rows) > _MAX_SNAPSHOTS:
-        raise ValueError(f"{column} is not on the snapshot grid")
+    """Snapshot times of a batch, eight a day at most; a time off the grid is refused."""
+    text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
+    stray = batch.where(F.col(column).isNull() | (F.col(column) != point_floor(F.col(column)))).select(text).limit(1).collect()
+    if stray:
+        raise ValueError(f"{column} {stray[0].ts} is not on the snapshot grid")
+    rows = batch.select(text).distinct().collect()
     return sorted(utc(datetime.fromisoformat(r.ts)) for r in rows)
 
 
@@ -40,30 +36,18 @@ def apply_stock_batch(warehouse: Warehouse, stocks: DataFrame) -> None:
 
 
 def apply_landing_batch(
-    warehouse: Warehouse, landing: DataFrame, warehouse_file: str | None = None, strict: bool = False
+    warehouse: Warehouse, batch: DataFrame, landing: DataFrame, warehouse_file: str | None = None, strict: bool = False
 ) -> None:
-    """Run the job of each snapshot in the batch, oldest first."""
+    """Run the job of each snapshot that the batch touches, oldest first, on all its replies in ``landing``."""
     manifest = Manifest(warehouse)
-    for ts in batch_times(landing, "snapshot_ts"):
+    for ts in batch_times(batch, "snapshot_ts"):
         stored = warehouse.snapshot_times("stocks")
         finished = any(unit == "finish" for unit, _ in manifest.done(ts))
         if not finished and (not stored or ts >= stored[-1]):
             full = not manifest.full_done(ts)
             (run_full if full else run_point)(warehouse, landing, ts, warehouse_file, strict)
         else:
-            _merge_late(warehouse, landing, ts, warehouse_file, strict)
-
-
-def _merge_late(
-    warehouse: Warehouse, landing: DataFrame, ts: datetime, warehouse_file: str | None, strict: bool
-) -> None:
-    stored = warehouse.snapshot_times("stocks")
-    compacted = compaction_day(stored, midnight(stored[-1])) if stored else None
-    job = SnapshotJob(warehouse, landing, ts, strict)
-    frames = job.stage_all(warehouse_file)
-    present = {table: rows for table, rows in frames.items() if not rows.isEmpty()}
-    job.load_all(FULL_IMPORT_WAVES, present, manifest=None)
-    rederive_changes(warehouse, [ts], frozen_before=compacted.end if compacted else None)
+            run_again(warehouse, landing, ts, warehouse_file, strict)
 
 
 def _available_now(stream: DataFrame, checkpoint: str, apply) -> StreamingQuery:
@@ -85,12 +69,16 @@ def stream_stocks(warehouse: Warehouse, stocks: DataFrame, checkpoint: str, prep
 
 
 def stream_replies(
-    warehouse: Warehouse, landing: DataFrame, checkpoint: str, warehouse_file: str | None = None,
+    warehouse: Warehouse, arrivals: DataFrame, landing: DataFrame, checkpoint: str, warehouse_file: str | None = None,
     strict: bool = False,
 ) -> StreamingQuery:
-    """Drain landing replies into the warehouse, snapshot by snapshot."""
+    """Drain ``arrivals``, the stream of the folder that ``landing`` reads, into the warehouse.
+
+    The stream only names the snapshots that got replies; a snapshot's job reads all its replies from ``landing``, so the
+    order of arrival and the size of micro-batches make no difference.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
-        apply_landing_batch(warehouse, batch, warehouse_file, strict)
+        apply_landing_batch(warehouse, batch, landing, warehouse_file, strict)
 
-    return _available_now(landing, checkpoint, apply)
+    return _available_now(arrivals, checkpoint, apply)

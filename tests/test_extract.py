@@ -62,6 +62,7 @@ def test_page_rows(spark):
     r.add("page", page_body(product(1, price=199), product(2, brand=3), product(1, price=500, name="again")),
           shard="s", query="q", page=1)
     r.add("page", page_body(product(9)), shard="s", query="q", page=18)
+    r.add("page", page_body(product(9)), shard="s", query="q")
     r.add("page", page_body(product(12.0), product(12.5), product(3000000000), product(77, rating=None)),
           shard="s", query="z", page=1)
     out = E.extract_pages(r.frame(spark))
@@ -72,6 +73,8 @@ def test_page_rows(spark):
     assert rows(out["product_details"].where("product_sku = 1"), "price", "sale_price") == [(1, 149)]
     assert rows(out["products"].where("sku = 1"), "name") == [("item 1",)]
     assert rows(out["rejects"], "request", "reason") == [
+        ("s q", "page out of range"),
+        ("s q 18", "page out of range"),
         ("s z 1 place 2", "missing or inexact: sku"),
         ("s z 1 place 3", "missing or inexact: sku"),
         ("s z 1 place 4", "missing or inexact: rating"),
@@ -161,3 +164,20 @@ def test_a_run_reads_its_own_part_of_the_landing(spark):
     assert "snapshot_ts" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert len(wanted.inputFiles()) == 2 and wanted.count() == 1
     assert landing.columns == LANDING.names
+
+
+def test_null_query_text_is_a_reject(spark):
+    r = Replies(TS)
+    r.add("queries", '["red hat", null]', source_text="a", source_kind="category")
+    r.add("queries", "[]", source_text="b", source_kind="category")
+    assert rows(E.extract_queries(r.frame(spark)), "source_text", "text") == [("a", "red hat")]
+    assert rows(E.queries_rejects(r.frame(spark)), "request", "reason") == [("category a", "null text")]
+
+
+def test_menu_of_any_depth(spark):
+    body = "{}"
+    for k in range(120):
+        body = '{"name": "n%d", "url": "/catalog/%d", "shard": "s", "query": "q", "childs": [%s]}' % (k, k, body if k else "")
+    r = Replies(TS)
+    r.add("categories", f"[{body}]")
+    assert E.extract_categories(r.frame(spark)).count() == 120

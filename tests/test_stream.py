@@ -4,7 +4,7 @@ from landing_fixture import Replies, full_replies, stocks_body
 from pyspark.sql import functions as F
 
 from shelfwatch.plans.jobs import run_full, run_point
-from shelfwatch.sources.landing import append_landing, stream_landing
+from shelfwatch.sources.landing import append_landing, read_landing, stream_landing
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.snapshots import apply_stock_batch, stream_replies
 from shelfwatch.tables import TABLES
@@ -50,24 +50,35 @@ def test_stream_equals_batch(spark, tmp_path):
     for frame in frames:
         append_landing(frame, path)
         landing = stream_landing(spark, path)
-        stream_replies(streamed, landing, checkpoint).awaitTermination()
+        stream_replies(streamed, landing, read_landing(spark, path), checkpoint).awaitTermination()
     for table in TABLES:
         assert rows(streamed.read(table)) == rows(batch.read(table)), table
     assert shown(streamed, "orders") == [("0100", "0103", 101, 7)]
     assert shown(streamed, "refills") == [("0100", "0103", 101, 1)]
     # Nothing new: another drain leaves the pointers alone.
     before = {t: streamed._pointer(t) for t in TABLES}
-    stream_replies(streamed, landing, checkpoint).awaitTermination()
+    stream_replies(streamed, landing, read_landing(spark, path), checkpoint).awaitTermination()
     assert {t: streamed._pointer(t) for t in TABLES} == before
 
 
 def test_snapshot_times_off_the_grid_are_refused(spark, tmp_path):
     from shelfwatch.streaming import snapshots
 
-    frame = spark.range(20).select(F.timestamp_seconds("id").alias("timestamp"))
-    limit, snapshots._MAX_SNAPSHOTS = snapshots._MAX_SNAPSHOTS, 10
-    try:
-        with pytest.raises(ValueError, match="grid"):
-            snapshots.batch_times(frame, "timestamp")
-    finally:
-        snapshots._MAX_SNAPSHOTS = limit
+    hours = spark.range(20_000).select(F.timestamp_seconds(F.col("id") * 3 * 3600).alias("timestamp"))
+    assert len(snapshots.batch_times(hours, "timestamp")) == 20_000
+    stray = hours.union(spark.range(1).select(F.timestamp_seconds(F.lit(7201))))
+    with pytest.raises(ValueError, match="grid"):
+        snapshots.batch_times(stray, "timestamp")
+
+
+def test_split_snapshot_in_any_order_equals_batch(spark, tmp_path):
+    frame = full_replies(at(1), [(101, "M", {1: 10, 2: 4}), (102, "L", {1: 6})]).frame(spark)
+    batch, streamed = Warehouse(spark, str(tmp_path / "batch")), Warehouse(spark, str(tmp_path / "stream"))
+    run_full(batch, frame, at(1))
+    path, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    late = F.col("endpoint").isin("seller", "catalog")
+    for part in (frame.where(~late), frame.where(late)):
+        append_landing(part, path)
+        stream_replies(streamed, stream_landing(spark, path), read_landing(spark, path), checkpoint).awaitTermination()
+    for table in TABLES:
+        assert rows(streamed.read(table)) == rows(batch.read(table)), table

@@ -61,7 +61,7 @@ def test_readers_keep_their_version_until_vacuum(spark, warehouse):
     warehouse.drop_history("stocks", lambda t: t == at(1))
     warehouse.vacuum()
     assert rows(before, "quantity") == [(5,), (6,)]
-    warehouse.vacuum(keep_pointers=1)
+    warehouse.vacuum(keep_hours=0)
     assert rows(warehouse.read("stocks"), "quantity") == [(6,)]
     day = f"{warehouse.root}/stocks/data/rev=1/day=20240301"
     assert warehouse.files.names(day) == ["point=030000"]
