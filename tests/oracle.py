@@ -61,7 +61,7 @@ if __name__ == "__main__":
     con, oracles = connect(folder), contract.oracle_sql()
     bad = 0
     for name, query in contract.queries().items():
-        if chosen and name not in chosen:
+        if name not in oracles or (chosen and name not in chosen):
             continue
         start = time.time()
         try:
