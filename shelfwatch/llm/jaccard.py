@@ -182,17 +182,22 @@ def jaccard_components(
     id_type = docs.schema["id"].dataType.simpleString()
     common = spark.sparkContext.broadcast(_commonness(docs, words))
     features = scratch.store(_features(docs, id_type, words, percent, common), "features")
-    owners = features.where("n > 0").groupBy("vertex").agg(F.min("id").alias("id"))
-    owners = scratch.store(owners, "owners")
     vertices = scratch.store(
-        features.where("n > 0").select("vertex", "n", "keys", "head").dropDuplicates(["vertex"]), "vertices"
+        features.where("n > 0").groupBy("vertex").agg(
+            F.min("id").alias("id"), F.count("*").alias("copies"),
+            *[F.first(c).alias(c) for c in ("n", "keys", "head")],
+        ),
+        "vertices",
     )
+    owners = vertices.select("vertex", "id")
     rows = scratch.store(features.select("id", "n", "vertex"), "rows")
     scratch.drop(features)
 
-    # Leaders of near copies.
-    met = vertices.select("vertex", "n", F.posexplode("keys").alias("k", "key"))
-    leaders = met.groupBy("k", "key").agg(F.min(F.struct("vertex", "n")).alias("leader"))
+    # Leaders of near copies. The text with the most copies is the likeliest source of the edited ones; where none
+    # stands out, every key has a leader of its own, since two edited copies are further apart than each is from the source.
+    met = vertices.select("vertex", "n", "copies", F.posexplode("keys").alias("k", "key"))
+    order = F.struct("copies", F.xxhash64("vertex", "k").alias("turn"))
+    leaders = met.groupBy("k", "key").agg(F.max_by(F.struct("vertex", "n"), order).alias("leader"))
     led = (
         met.join(leaders, ["k", "key"]).where("vertex <> leader.vertex").where(_similar_size(percent, "n", "leader.n"))
         .select(F.col("leader.vertex").alias("a"), F.col("vertex").alias("b")).distinct()
