@@ -13,6 +13,9 @@ from shelfwatch.llm.jaccard import jaccard_components
 from shelfwatch.llm.langid import identify
 from shelfwatch.llm.linkgraph import judge_urls
 from shelfwatch.llm.packing import pack
+from shelfwatch.llm.pieces import encode
+from shelfwatch.llm.resample import resample
+from shelfwatch.llm.simplex import integer_kmeans
 from shelfwatch.llm.suffixlm import suffix_scores
 from shelfwatch.llm.toxicity import toxicity
 
@@ -80,6 +83,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # Where the last piece ends, and how many bytes the pieces cover: all of the text.
+        F.coalesce(F.get("ends", F.size("ends") - 1), F.lit(0)).cast("bigint").alias("last_end"),
+        F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("covered"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integer_kmeans(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_embeddings": (op1_embeddings, sql.OP1),
     "op2_leaks": (op2_leaks, None),
@@ -91,4 +114,7 @@ QUERIES = {
     "op8_chat": (op8_chat, sql.OP8),
     "op9_jaccard": (op9_jaccard, sql.OP9),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_pieces": (op11_pieces, None),
+    "op12_centroids": (op12_centroids, sql.OP12),
+    "op13_resampling": (op13_resampling, sql.OP13),
 }

@@ -120,3 +120,68 @@ WITH RECURSIVE parts AS (
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM smallest LEFT JOIN degrees USING (vec_id)
 """
+
+
+def _kmeans(clusters: int, rounds: int, size: int, scale: int, seed: int) -> str:
+    """Rounds of assignment and floored means, one common table after another."""
+    nearest = (
+        "list_min(list_transform(range(1, len(c) + 1), lambda k: {'d': list_sum(list_transform(range(1, " + str(size + 1) + "), "
+        "lambda i: (v[i] - c[k][i]) * (v[i] - c[k][i])))::BIGINT, 'k': (k - 1)::INTEGER}))"
+    )
+    steps = [
+        f"x AS (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS v FROM embeddings WHERE len(embedding) = {size})",
+        f"points AS MATERIALIZED (SELECT vec_id, list_transform(v, lambda e: floor({scale} * e)::BIGINT) AS v FROM x "
+        "WHERE len(list_filter(v, lambda e: e IS NULL OR NOT isfinite(e))) = 0)",
+        f"c_0 AS MATERIALIZED (SELECT list(v ORDER BY h, v) AS c FROM (SELECT v, sha256('{seed}:' || vec_id) AS h FROM points "
+        f"ORDER BY h NULLS LAST, v LIMIT {clusters}))",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"a_{k} AS MATERIALIZED (SELECT vec_id, v, {nearest} AS a FROM points, c_{k})")
+        if k < rounds:
+            steps += [
+                f"s_{k} AS (SELECT k, i, sum(e)::BIGINT AS s, count(*) AS n FROM (SELECT a.k AS k, unnest(range(1, {size + 1})) AS i, unnest(v) AS e FROM a_{k}) GROUP BY k, i)",
+                f"m_{k} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM s_{k} GROUP BY k)",
+                f"c_{k + 1} AS MATERIALIZED (SELECT list(coalesce(m, old) ORDER BY o.k) AS c FROM (SELECT unnest(range(len(c))) AS k, unnest(c) AS old FROM c_{k}) o LEFT JOIN m_{k} USING (k))",
+            ]
+    return (
+        "WITH " + ",\n".join(steps) + f"\nSELECT vec_id, a.k AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia, "
+        f"sum(a.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c[a.k + 1], ',')) AS centroid_sha256 FROM a_{rounds}, c_{rounds}"
+    )
+
+
+OP12 = _kmeans(8, 10, 64, 1024, 3)
+
+# Checksums: a byte goes through the table of the usual reversed polynomial.
+OP13 = rf"""
+WITH RECURSIVE steps AS (
+    SELECT b, b AS x, 0 AS k FROM range(256) t(b) UNION ALL SELECT b, xor(x >> 1, 3988292384 * (x & 1)), k + 1 FROM steps WHERE k < 8
+), crc AS MATERIALIZED (
+    SELECT list(x ORDER BY b) AS t FROM steps WHERE k = 8
+), worded AS (
+    SELECT doc_id, true AS own, list_transform(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w) AS w FROM documents
+    UNION ALL SELECT item_id, false, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), runs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, own, len(w) AS words, w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS f FROM worded
+), each AS MATERIALIZED (
+    SELECT r, own, unnest(f) AS feature FROM runs
+), bytes AS (
+    SELECT feature, list_transform(regexp_extract_all(hex(encode(feature)), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM (SELECT DISTINCT feature FROM each)
+), cells AS MATERIALIZED (
+    SELECT feature, xor(list_reduce([4294967295::BIGINT] || b, lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295) % 10000 AS cell FROM bytes, crc
+), counts AS (
+    SELECT cell, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM each JOIN cells USING (feature) GROUP BY cell
+), totals AS (
+    SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM counts
+), gains AS (
+    SELECT cell, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM counts, totals
+), weights AS (
+    SELECT r, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM each JOIN cells USING (feature) JOIN gains USING (cell) WHERE own GROUP BY r
+), scored AS (
+    SELECT doc_id, words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM runs LEFT JOIN weights USING (r) WHERE own
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY words >= 20) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+"""
