@@ -38,6 +38,13 @@ def merge_by_key(
     return distinct_on(tagged, keys, ["_stored", *order]).drop("_stored")
 
 
+def newest_by_key(
+    df: DataFrame, keys: Sequence[str], version: str, order: Sequence[Column | str] = ()
+) -> DataFrame:
+    """Row of the highest ``version`` of each key, then the first by ``order``; the order of arrival plays no part."""
+    return distinct_on(df, keys, [F.desc(version), *order])
+
+
 def pending(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Work units without a finished marker."""
     return work.join(done, list(keys), "left_anti")

@@ -107,13 +107,24 @@ def _menu_nodes(landing: DataFrame) -> DataFrame:
     )
 
 
-def extract_categories(landing: DataFrame) -> DataFrame:
-    """Menu tree to one row per category path.
+def parse_menus(landing: DataFrame) -> DataFrame:
+    """The walk over all menus, one row per node, and one row without ``walk`` per reply that is no menu."""
+    unreadable = replies(landing, "categories").where(
+        F.coalesce(F.schema_of_variant(F.try_parse_json("body")), F.lit("")).startswith("ARRAY") == F.lit(False)
+    )
+    nodes = _menu_nodes(landing).withColumn("problem", F.when(_any_null("text", "url"), _names_of_null("text", "url")))
+    return nodes.unionByName(
+        unreadable.select("snapshot_ts", "ingest_seq", F.lit("unreadable body").alias("problem")), allowMissingColumns=True
+    )
+
+
+def categories_of(nodes: DataFrame) -> DataFrame:
+    """One row per category path of ``parse_menus``.
 
     Children are walked even below a node that does not qualify. On equal paths the node visited first in
     post-order wins: a child before its parent, an earlier sibling before a later one.
     """
-    qualified = _menu_nodes(landing).where(
+    qualified = nodes.where(
         F.col("text").isNotNull()
         & F.col("url").startswith(CATEGORY_START)
         & F.col("shard").isNotNull()
@@ -126,14 +137,18 @@ def extract_categories(landing: DataFrame) -> DataFrame:
     )
 
 
+def menu_rejects(nodes: DataFrame) -> DataFrame:
+    request = F.when(F.col("walk").isNotNull(), F.col("text")).otherwise("")
+    return reject(nodes.where("problem IS NOT NULL"), "categories", F.col("problem"), request)
+
+
+def extract_categories(landing: DataFrame) -> DataFrame:
+    """Menu tree to one row per category path."""
+    return categories_of(parse_menus(landing))
+
+
 def categories_rejects(landing: DataFrame) -> DataFrame:
-    unreadable = replies(landing, "categories").where(
-        F.coalesce(F.schema_of_variant(F.try_parse_json("body")), F.lit("")).startswith("ARRAY") == F.lit(False)
-    )
-    nodes = _menu_nodes(landing).where(_any_null("text", "url"))
-    return reject(unreadable, "categories", "unreadable body").unionByName(
-        reject(nodes, "categories", _names_of_null("text", "url"), F.col("text"))
-    )
+    return menu_rejects(parse_menus(landing))
 
 
 def _query_texts() -> Column:
@@ -144,57 +159,75 @@ def _query_texts() -> Column:
     )
 
 
+def parse_queries(landing: DataFrame) -> DataFrame:
+    """Query replies with their text list, null where the body is no list."""
+    return replies(landing, "queries").select(
+        "snapshot_ts", "ingest_seq", "source_kind", "source_text", _query_texts().alias("texts")
+    )
+
+
+def queries_of(parsed: DataFrame) -> DataFrame:
+    """Query texts per source; empty and integer-like texts are dropped."""
+    exploded = parsed.select(
+        "snapshot_ts", "source_kind", "source_text", "ingest_seq", F.explode_outer("texts").alias("text")
+    ).where((F.col("text") != "") & ~integer_like(F.col("text")))
+    # Only the arrival distinguishes rows of one key, so the earliest is a minimum.
+    return exploded.groupBy("snapshot_ts", "source_kind", "source_text", "text").agg(F.min("ingest_seq").alias("ingest_seq"))
+
+
+def query_list_rejects(parsed: DataFrame) -> DataFrame:
+    """Unreadable replies, and replies with a null text in their list; their other texts are kept."""
+    reason = F.when(F.col("texts").isNull(), "unreadable body").otherwise("null text")
+    bad = parsed.where(F.col("texts").isNull() | F.exists("texts", lambda text: text.isNull()))
+    return reject(bad, "queries", reason, F.concat_ws(" ", "source_kind", "source_text"))
+
+
 def extract_queries(landing: DataFrame) -> DataFrame:
     """Query texts per source; empty and integer-like texts are dropped."""
-    exploded = (
-        replies(landing, "queries")
-        .select(
-            "snapshot_ts", "source_kind", "source_text", "ingest_seq",
-            F.explode_outer(_query_texts()).alias("text"),
-        )
-        .where((F.col("text") != "") & ~integer_like(F.col("text")))
-    )
-    return distinct_on(exploded, ["snapshot_ts", "source_kind", "source_text", "text"], ["ingest_seq"])
+    return queries_of(parse_queries(landing))
 
 
 def queries_rejects(landing: DataFrame) -> DataFrame:
-    """Unreadable replies, and replies with a null text in their list; their other texts are kept."""
-    listed = replies(landing, "queries").withColumn("_texts", _query_texts())
-    reason = F.when(F.col("_texts").isNull(), "unreadable body").otherwise("null text")
-    return reject(
-        listed.where(F.col("_texts").isNull() | F.exists("_texts", lambda text: text.isNull())), "queries", reason,
-    )
+    return query_list_rejects(parse_queries(landing))
 
 
-def _parsed_catalogs(landing: DataFrame) -> DataFrame:
+def parse_catalogs(landing: DataFrame) -> DataFrame:
+    """Catalog replies with the catalog they name."""
     parsed = _parsed_once(replies(landing, "catalog"), "_json", F.from_json("body", CATALOG_BODY))
-    return parsed.withColumns({"shard": F.col("_json.shardKey"), "query": F.col("_json.query")})
+    return parsed.select(
+        "snapshot_ts", "ingest_seq", "source_text", F.col("_json.shardKey").alias("shard"), F.col("_json.query").alias("query")
+    )
 
 
-def extract_catalogs(landing: DataFrame) -> DataFrame:
+def catalogs_of(parsed: DataFrame) -> DataFrame:
     """Catalog a source text resolves to."""
-    usable = _parsed_catalogs(landing).where(~_any_null("source_text", "shard", "query"))
     return distinct_on(
-        usable.select("snapshot_ts", "source_text", "shard", "query", "ingest_seq"),
+        parsed.where(~_any_null("source_text", "shard", "query")).select("snapshot_ts", "source_text", "shard", "query", "ingest_seq"),
         ["snapshot_ts", "source_text"],
         ["ingest_seq"],
     )
 
 
-def catalogs_rejects(landing: DataFrame) -> DataFrame:
+def catalog_reply_rejects(parsed: DataFrame) -> DataFrame:
     required = ("source_text", "shard", "query")
     return reject(
-        _parsed_catalogs(landing).where(_any_null(*required)), "catalog", _names_of_null(*required),
-        F.col("source_text"),
+        parsed.where(_any_null(*required)), "catalog", _names_of_null(*required), F.col("source_text")
     )
 
 
-def source_catalogs(landing: DataFrame) -> DataFrame:
+def extract_catalogs(landing: DataFrame) -> DataFrame:
+    """Catalog a source text resolves to."""
+    return catalogs_of(parse_catalogs(landing))
+
+
+def catalogs_rejects(landing: DataFrame) -> DataFrame:
+    return catalog_reply_rejects(parse_catalogs(landing))
+
+
+def bind_sources(categories: DataFrame, queries: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Categories and the queries below them, each with its catalog or null."""
-    categories = extract_categories(landing)
-    queries = extract_queries(landing).where("source_kind = 'category'")
     # A query counts only below a category of the same menu.
-    own = queries.join(
+    own = queries.where("source_kind = 'category'").join(
         categories.select("snapshot_ts", F.col("text").alias("source_text")),
         ["snapshot_ts", "source_text"],
         "left_semi",
@@ -202,15 +235,17 @@ def source_catalogs(landing: DataFrame) -> DataFrame:
     sources = categories.select(
         "snapshot_ts", F.lit("category").alias("kind"), "text", "ingest_seq"
     ).unionByName(
-        distinct_on(own.select("snapshot_ts", "text", "ingest_seq"), ["snapshot_ts", "text"], ["ingest_seq"])
-        .withColumn("kind", F.lit("query"))
-    )
-    resolved = extract_catalogs(landing).select(
-        "snapshot_ts", F.col("source_text").alias("text"), "shard", "query"
+        own.groupBy("snapshot_ts", "text").agg(F.min("ingest_seq").alias("ingest_seq")).withColumn("kind", F.lit("query"))
     )
+    resolved = catalogs.select("snapshot_ts", F.col("source_text").alias("text"), "shard", "query")
     return sources.join(resolved, ["snapshot_ts", "text"], "left")
 
 
+def source_catalogs(landing: DataFrame) -> DataFrame:
+    """Categories and the queries below them, each with its catalog or null."""
+    return bind_sources(extract_categories(landing), extract_queries(landing), extract_catalogs(landing))
+
+
 def category_bundle(bound: DataFrame) -> dict[str, DataFrame]:
     """Catalogs, categories and queries of ``source_catalogs``."""
     known = bound.where(F.col("shard").isNotNull())
@@ -387,6 +422,11 @@ def extract_sellers(by_sku: DataFrame) -> DataFrame:
     )
 
 
+def landed_sellers(landing: DataFrame) -> DataFrame:
+    """Sellers of the seller replies of a landing."""
+    return extract_sellers(sellers_by_sku(parse_sellers(landing)))
+
+
 def sellers_rejects(parsed: DataFrame) -> DataFrame:
     bad = parsed.where(F.col("unreadable") | (F.col("name").isNotNull() & _any_null("sku", "wb_id")))
     return reject(

@@ -1,12 +1,15 @@
 """Snapshot jobs: landing replies of one snapshot into the warehouse, then changes and upkeep.
 
-Each import is skipped when its marker exists, and repeats harmlessly when only the marker is missing.
+Each import is skipped when its marker exists, and repeats harmlessly when only the marker is missing. Parsed replies
+are kept with the warehouse until their day is compacted: a run that starts again, or meets late replies, parses what it
+hasn't parsed yet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import closing
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -21,8 +24,9 @@ from shelfwatch.operators import extract as E
 from shelfwatch.operators.changes import MERCH_KEY, history_changes, neighbour_pairs, snapshot_changes, split_changes
 from shelfwatch.operators.compact import compact_changes, compaction_day
 from shelfwatch.operators.resolve import resolve
-from shelfwatch.operators.retention import active_products, keep_seen_since, retention_edge
-from shelfwatch.plans.manifest import Manifest
+from shelfwatch.operators.retention import active_products, retention_edge
+from shelfwatch.plans.manifest import TIME, Manifest
+from shelfwatch.plans.parsed import ParsedReplies, forget_parsed
 from shelfwatch.session import delete_folder, scratch_folder
 from shelfwatch.sources.landing import ACCEPTED_CODES, read_warehouse_file, refused_replies, reject, replies
 from shelfwatch.sources.warehouse import Warehouse, part_of
@@ -60,8 +64,15 @@ class SnapshotJob:
         self.strict = strict
         self.landing = landing.where(F.col("snapshot_ts") == F.lit(self.ts))
         self.scratch = scratch_folder(self.spark, "snapshot")
+        self.parsed = ParsedReplies(warehouse, self.ts)
+        # Dictionaries whose keys a run of an older snapshot changed, so that later snapshots may resolve otherwise.
+        self.changed_keys: set[str] = set()
         self.extraction_rejects: list[DataFrame] = [refused_replies(self.landing)]
 
+    def count_replies(self, manifest: Manifest) -> None:
+        """Remember how many replies the run sees, before it reads them: more of them later mean another run."""
+        manifest.count(self.ts, self.landing.count())
+
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         """Cut the lineage: later steps read single columns of this instead of parsing again."""
         path = f"{self.scratch}/{name}"
@@ -74,33 +85,40 @@ class SnapshotJob:
 
     # --- staging ------------------------------------------------------------------------------------------
 
+    def _parse(self, endpoint: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return self.parsed.take(endpoint, replies(self.landing, endpoint), parse)
+
     def stage_sources(self) -> dict[str, DataFrame]:
-        bundle = E.category_bundle(self._written("sources", E.source_catalogs(self.landing)))
+        nodes = self._parse("categories", E.parse_menus)
+        lists = self._parse("queries", E.parse_queries)
+        answers = self._parse("catalog", E.parse_catalogs)
+        bound = E.bind_sources(E.categories_of(nodes), E.queries_of(lists), E.catalogs_of(answers))
+        bundle = E.category_bundle(self._written("sources", bound))
         self.extraction_rejects += [
-            bundle.pop("rejects"), E.categories_rejects(self.landing), E.queries_rejects(self.landing),
-            E.catalogs_rejects(self.landing),
+            bundle.pop("rejects"), E.menu_rejects(nodes), E.query_list_rejects(lists), E.catalog_reply_rejects(answers),
         ]
         return bundle
 
     def stage_pages(self) -> dict[str, DataFrame]:
-        sellers = self._written("sellers", E.parse_sellers(self.landing))
+        sellers = self._parse("seller", E.parse_sellers)
         by_sku = E.sellers_by_sku(sellers)
-        bundle = E.page_bundle(self._written("pages", _clean(E.parse_pages(self.landing), "shard", "query")))
+        bundle = E.page_bundle(self._parse("page", lambda pages: _clean(E.parse_pages(pages), "shard", "query")))
         self.extraction_rejects += [bundle.pop("rejects"), E.sellers_rejects(sellers)]
         bundle["sellers"] = E.extract_sellers(by_sku)
         bundle["products"] = E.with_seller(bundle["products"], by_sku)
         return bundle
 
     def stage_stocks(self, only: DataFrame | None = None, warehouse_file: str | None = None) -> dict[str, DataFrame]:
-        parsed = E.parse_stocks(self.landing)
+        parsed = self._parse("stocks", lambda stocks: _clean(E.parse_stocks(stocks), "size_name"))
         if only is not None:
             wanted = only.select(F.col("sku").alias("product_sku"))
-            # One scan and one parse: rows with a problem stay beside those of wanted products.
-            parsed = (
+            # One scan: rows with a problem stay beside those of wanted products.
+            parsed = self._written(
+                "stocks",
                 parsed.join(wanted.distinct().withColumn("_wanted", F.lit(True)), "product_sku", "left")
-                .where("problem IS NOT NULL OR _wanted").select(*parsed.columns)
+                .where("problem IS NOT NULL OR _wanted").select(*parsed.columns),
             )
-        bundle = E.stock_bundle(self._written("stocks", _clean(parsed, "size_name")))
+        bundle = E.stock_bundle(parsed)
         self.extraction_rejects.append(bundle.pop("rejects"))
         if warehouse_file is not None:
             body = read_warehouse_file(self.spark, warehouse_file)
@@ -172,8 +190,8 @@ class SnapshotJob:
             self.warehouse.replace_history(table, kept, [self.ts])
         elif spec.is_history:
             self.warehouse.upsert_history(table, kept, [self.ts], unique=True)
-        else:
-            self.warehouse.upsert_dictionary(table, kept)
+        elif self.warehouse.put_snapshot(table, kept, self.ts):
+            self.changed_keys.add(table)
         # The load counted its rejects in passing; only if there are any does the join run again to list them.
         if count.get["rejected"]:
             self._keep_rejects(table, rejects)
@@ -262,9 +280,17 @@ def compact(warehouse: Warehouse, day: datetime) -> datetime | None:
         if times:
             rows = warehouse.read(table, lambda ts: chosen.first_snapshot <= ts < chosen.end)
             warehouse.replace_history(table, compact_changes(rows, MERCH_KEY), times)
+    settle(warehouse, chosen.end)
     return chosen.start
 
 
+def settle(warehouse: Warehouse, before: datetime) -> None:
+    """Snapshots before a time can't be run again: let go of what is kept for that."""
+    for table in DICTIONARIES:
+        warehouse.settle_dictionary(table, before)
+    forget_parsed(warehouse, before)
+
+
 def retain(warehouse: Warehouse, day: datetime) -> None:
     """Drop dictionary rows last seen, and history days that start, before the edge.
 
@@ -272,11 +298,10 @@ def retain(warehouse: Warehouse, day: datetime) -> None:
     """
     edge = retention_edge(day)
     for table in DICTIONARIES:
-        rows = warehouse.read(table)
-        if not rows.where(F.col("last_timestamp") < F.lit(edge)).isEmpty():
-            warehouse.replace_dictionary(table, keep_seen_since(rows, F.lit(edge)))
+        warehouse.trim_dictionary(table, edge)
     for table in HISTORIES:
         warehouse.drop_history(table, lambda ts: ts < edge)
+    Manifest(warehouse).forget(edge)
 
 
 # --- runs -------------------------------------------------------------------------------------------------
@@ -291,25 +316,35 @@ def run_full(
 ) -> None:
     """First run of a day: all tables, changes since the last snapshot before midnight, upkeep."""
     manifest = Manifest(warehouse)
-    job = SnapshotJob(warehouse, landing, ts, strict)
-    done = manifest.done(job.ts)
-    if ("begin", "full") not in done:
-        manifest.mark(job.ts, "begin", "full")
-    if not _imported(FULL_IMPORT_WAVES, done):
-        job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), manifest)
-    day = midnight(job.ts)
-    steps = {
-        "changes": lambda: job.derive_changes(day),
-        "compact": lambda: compact(warehouse, day),
-        "retain": lambda: retain(warehouse, day),
-    }
-    if any(t < day for t in warehouse.snapshot_times("stocks")):
-        for name, step in steps.items():
-            if ("step", name) not in done:
-                step()
-                manifest.mark(job.ts, "step", name)
-    manifest.mark(job.ts, "finish", "full")
-    job.close()
+    with closing(SnapshotJob(warehouse, landing, ts, strict)) as job:
+        done = manifest.done(job.ts)
+        if ("begin", "full") not in done:
+            manifest.mark(job.ts, "begin", "full")
+        job.count_replies(manifest)
+        if not _imported(FULL_IMPORT_WAVES, done):
+            job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), manifest)
+        day = midnight(job.ts)
+        steps = {
+            "changes": lambda: job.derive_changes(day),
+            "compact": lambda: compact(warehouse, day),
+            "retain": lambda: retain(warehouse, day),
+        }
+        if any(t < day for t in warehouse.snapshot_times("stocks")):
+            for name, step in steps.items():
+                if ("step", name) not in done:
+                    step()
+                    manifest.mark(job.ts, "step", name)
+        manifest.mark(job.ts, "finish", "full")
+
+
+def _load_point(
+    job: SnapshotJob, manifest: Manifest | None, warehouse_file: str | None, replace: bool = False
+) -> None:
+    """Sizes, warehouses and stocks of the products seen on the day of the snapshot."""
+    today = active_products(job.warehouse.read("products"), F.lit(midnight(job.ts)))
+    frames = job.stage_stocks(today, warehouse_file)
+    job.keep_extraction_rejects()
+    job.load_all(POINT_IMPORT_WAVES, frames, manifest, replace)
 
 
 def run_point(
@@ -317,48 +352,83 @@ def run_point(
 ) -> None:
     """Later runs of a day: sizes, warehouses and stocks of the products seen today, and their changes."""
     manifest = Manifest(warehouse)
-    job = SnapshotJob(warehouse, landing, ts, strict)
-    done = manifest.done(job.ts)
-    if ("begin", "point") not in done:
-        manifest.mark(job.ts, "begin", "point")
-    if not _imported(POINT_IMPORT_WAVES, done):
-        today = active_products(warehouse.read("products"), F.lit(midnight(job.ts)))
-        frames = job.stage_stocks(today, warehouse_file)
-        job.keep_extraction_rejects()
-        job.load_all(POINT_IMPORT_WAVES, frames, manifest)
-    if ("step", "changes") not in done:
-        job.derive_changes(job.ts)
-        manifest.mark(job.ts, "step", "changes")
-    manifest.mark(job.ts, "finish", "point")
-    job.close()
+    with closing(SnapshotJob(warehouse, landing, ts, strict)) as job:
+        done = manifest.done(job.ts)
+        if ("begin", "point") not in done:
+            manifest.mark(job.ts, "begin", "point")
+        job.count_replies(manifest)
+        if not _imported(POINT_IMPORT_WAVES, done):
+            _load_point(job, manifest, warehouse_file)
+        if ("step", "changes") not in done:
+            job.derive_changes(job.ts)
+            manifest.mark(job.ts, "step", "changes")
+        manifest.mark(job.ts, "finish", "point")
+
+
+def settled_until(warehouse: Warehouse) -> datetime | None:
+    """End of the newest compacted day: snapshots before it can't be run again."""
+    stored = warehouse.snapshot_times("stocks")
+    compacted = compaction_day(stored, midnight(stored[-1])) if stored else None
+    return compacted.end if compacted else None
 
 
 def run_again(
     warehouse: Warehouse, landing: DataFrame, ts: datetime, warehouse_file: str | None = None, strict: bool = False
-) -> None:
-    """Late or further replies of a snapshot: its job on all its replies, its history replaced, its pairs derived anew.
+) -> list[datetime]:
+    """Late or further replies of a snapshot: its job on all its replies, as if they had come in time.
+
+    New replies are parsed; the snapshot's history and what it contributed to the dictionaries are replaced, newer rows of
+    other snapshots stay. Where keys came or went, the later snapshots, which looked them up, are loaded again from their
+    parsed replies, oldest first. Then the pairs around all of them are derived anew. Returns the snapshots loaded.
 
-    It stays a full or a point run as it began; one that never began is full if no run of its day was. A snapshot of a
-    compacted day can't be taken in, as the day's changes are summed: its replies become rejects.
+    A snapshot stays a full or a point run as it began; one that never began is full if no run of its day was. A
+    snapshot of a compacted day can't be taken in, as the day's changes are summed: its replies become rejects.
     """
     manifest = Manifest(warehouse)
-    job = SnapshotJob(warehouse, landing, ts, strict)
-    stored = warehouse.snapshot_times("stocks")
-    compacted = compaction_day(stored, midnight(stored[-1])) if stored else None
-    frozen = compacted.end if compacted else None
-    if frozen is not None and job.ts < frozen:
-        job.refuse_all("day is compacted")
-        return
-    done = manifest.done(job.ts)
-    if ("begin", "full") in done or ("begin", "point") not in done and not manifest.full_done(job.ts):
-        job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), None, replace=True)
-    else:
-        today = active_products(warehouse.read("products"), F.lit(midnight(job.ts)))
-        frames = job.stage_stocks(today, warehouse_file)
-        job.keep_extraction_rejects()
-        job.load_all(POINT_IMPORT_WAVES, frames, None, replace=True)
-    rederive_changes(warehouse, [job.ts], frozen_before=frozen)
-    job.close()
+    frozen = settled_until(warehouse)
+    todo, loaded = [utc(ts)], []
+    while todo:
+        with closing(SnapshotJob(warehouse, landing, todo.pop(0), strict)) as job:
+            job.count_replies(manifest)
+            if frozen is not None and job.ts < frozen:
+                job.refuse_all("day is compacted")
+                return []
+            done = manifest.done(job.ts)
+            if ("begin", "full") in done or ("begin", "point") not in done and not manifest.full_done(job.ts):
+                kind = "full"
+                job.load_all(FULL_IMPORT_WAVES, job.stage_all(warehouse_file), None, replace=True)
+            else:
+                kind = "point"
+                _load_point(job, None, warehouse_file, replace=True)
+            if ("finish", kind) not in done:
+                manifest.mark(job.ts, "begin", kind)
+                manifest.mark(job.ts, "finish", kind)
+            loaded.append(job.ts)
+            if job.changed_keys and len(loaded) == 1:
+                todo = [t for t in manifest.counts() if t > job.ts]
+    rederive_changes(warehouse, loaded, frozen_before=frozen)
+    return loaded
+
+
+def catch_up(
+    warehouse: Warehouse, landing: DataFrame, warehouse_file: str | None = None, strict: bool = False
+) -> list[datetime]:
+    """Run again every finished snapshot that got replies since its run; returns the snapshots loaded.
+
+    Replies are only added to a landing, so their number tells. It comes from file footers where the landing is
+    partitioned by snapshot.
+    """
+    manifest = Manifest(warehouse)
+    known = manifest.counts()
+    if not known:
+        return []
+    counted = landing.where(F.col("snapshot_ts") >= F.lit(min(known))).groupBy("snapshot_ts").agg(F.count("*").alias("n"))
+    found = {utc(datetime.fromisoformat(r.ts)): r.n for r in counted.select(F.date_format("snapshot_ts", TIME).alias("ts"), "n").collect()}
+    loaded: list[datetime] = []
+    for ts in sorted(t for t, n in known.items() if found.get(t, 0) > n):
+        if ts not in loaded and any(unit == "finish" for unit, _ in manifest.done(ts)):
+            loaded += run_again(warehouse, landing, ts, warehouse_file, strict)
+    return loaded
 
 
 def run_due(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,8 @@ MARKERS = T.StructType(
         T.StructField("key", T.StringType()),
     ]
 )
-_TIME = "yyyy-MM-dd HH:mm:ss"
+TIME = "yyyy-MM-dd HH:mm:ss"
+_NAME = "%Y%m%dT%H%M%S"
 
 
 class Manifest:
@@ -44,10 +45,36 @@ class Manifest:
         marked = row.withColumn("key", F.explode(F.array(*map(F.lit, keys))))
         marked.write.mode("append").json(self._folder(ts))
 
+    def count(self, ts: datetime, replies: int) -> None:
+        """Remember how many replies a run of the snapshot sees. File names hold it, so that a listing tells all."""
+        name = f"{utc(ts):{_NAME}}.{replies}"
+        if name not in self.warehouse.files.names(f"{self.root}/replies"):
+            self.warehouse.files.create(f"{self.root}/replies/{name}", "")
+
+    def counts(self) -> dict[datetime, int]:
+        """Replies that the last run of each snapshot saw, oldest snapshot first."""
+        found: dict[datetime, int] = {}
+        for name in self.warehouse.files.names(f"{self.root}/replies"):
+            ts, n = name.split(".")
+            when = datetime.strptime(ts, _NAME).replace(tzinfo=timezone.utc)
+            found[when] = max(int(n), found.get(when, 0))
+        return dict(sorted(found.items()))
+
+    def forget(self, before: datetime) -> None:
+        """Delete the markers of the days before a time."""
+        for folder, label in ((self.root, f"day={utc(before):%Y%m%d}"), (f"{self.root}/replies", f"{utc(before):{_NAME}}")):
+            for name in self.warehouse.files.names(folder):
+                if name[0] == label[0] and name < label:
+                    self.warehouse.files.delete(f"{folder}/{name}")
+
+    @staticmethod
+    def _collected(markers: DataFrame) -> set[tuple[datetime, str, str]]:
+        rows = markers.select(F.date_format("snapshot_ts", TIME).alias("ts"), "unit", "key").collect()
+        return {(utc(datetime.fromisoformat(r.ts)), r.unit, r.key) for r in rows}
+
     def _units(self, day: datetime) -> set[tuple[datetime, str, str]]:
         """Job-level markers of a day; a run has a few dozen, whatever the size of the data."""
-        rows = self.markers(day).select(F.date_format("snapshot_ts", _TIME).alias("ts"), "unit", "key").collect()
-        return {(utc(datetime.fromisoformat(r.ts)), r.unit, r.key) for r in rows}
+        return self._collected(self.markers(day))
 
     def done(self, ts: datetime) -> set[tuple[str, str]]:
         return {(unit, key) for when, unit, key in self._units(ts) if when == utc(ts)}

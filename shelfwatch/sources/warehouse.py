@@ -2,7 +2,7 @@
 
 Layout of a table folder::
 
-    data/rev=<n>/...                              dictionary, whole table per revision
+    data/rev=<n>/...                              dictionary, one part per revision
     data/rev=<n>/day=yyyyMMdd/point=HHmmss/...    history, one folder per snapshot
     pointer/<n>.json                              live revision of every part, highest n counts
 
@@ -10,6 +10,10 @@ A writer puts a new revision beside the old ones and switches the pointer last,
 or after a load and a lost driver leaves it as it was. There is one writer per warehouse at a time; a second
 one fails at the pointer instead of overwriting it. History parts are snapshots: a new snapshot is written
 without reading older ones, and choosing snapshots, dropping or compacting them are pointer changes.
+
+A dictionary has three kinds of parts: ``all``, the table that readers see; for each snapshot that may still be run
+again, the rows it contributed; and ``base``, what snapshots before those left. ``all`` is always the newest row of each key
+among the others, so late or repeated snapshots neither set newer rows back nor leave rows that they withdrew.
 """
 
 from __future__ import annotations
@@ -24,12 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.calendar import utc
-from shelfwatch.operators.dedupe import distinct_on, merge_by_key, nulls_last
+from shelfwatch.operators.dedupe import distinct_on, merge_by_key, newest_by_key, nulls_last
+from shelfwatch.operators.retention import keep_seen_since
 from shelfwatch.session import empty_frame
 from shelfwatch.tables import TABLES, TableSpec
 
 _PART_FORMAT = "%Y%m%d/%H%M%S"
-_WHOLE = "all"
+_WHOLE, _BASE = "all", "base"
 
 
 def part_of(ts: datetime) -> str:
@@ -119,14 +124,16 @@ class Warehouse:
     # --- reading ------------------------------------------------------------------------------------------
 
     def snapshot_times(self, table: str) -> list[datetime]:
-        """Snapshot times with rows in a history table, from the pointer alone."""
-        return sorted(time_of(part) for part in self._pointer(table)[1])
+        """Snapshot times with rows in a history table, or that a dictionary keeps apart, from the pointer alone."""
+        return sorted(time_of(part) for part in self._pointer(table)[1] if part not in (_WHOLE, _BASE))
 
     def read(self, table: str, keep: Callable[[datetime], bool] | None = None) -> DataFrame:
         """Live rows; ``keep`` chooses snapshots of a history table before any file is listed."""
         spec = TABLES[table]
         _, parts = self._pointer(table)
-        if keep is not None:
+        if not spec.is_history:
+            parts = {part: rev for part, rev in parts.items() if part == _WHOLE}
+        elif keep is not None:
             parts = {part: rev for part, rev in parts.items() if keep(time_of(part))}
         return self._scan(spec, parts)
 
@@ -140,7 +147,7 @@ class Warehouse:
         data = self._data(spec.name)
         paths = []
         for part, rev in sorted(parts.items()):
-            if part == _WHOLE:
+            if not spec.is_history:
                 paths.append(f"{data}/rev={rev}")
             else:
                 day, point = part.split("/")
@@ -154,24 +161,89 @@ class Warehouse:
     def _order(self, spec: TableSpec):
         return nulls_last(*spec.nulls_last_order)
 
+    def _newest(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+        return newest_by_key(rows, spec.key, "last_timestamp", self._order(spec))
+
+    def _stored(self, spec: TableSpec, rows: DataFrame) -> int:
+        """Write a part of a dictionary and return its revision."""
+        rev = self._next_revision(spec.name)
+        rows.select(*spec.final.names).write.parquet(f"{self._data(spec.name)}/rev={rev}")
+        return rev
+
     def upsert_dictionary(self, table: str, staged: DataFrame) -> None:
-        """Insert new keys and refresh all other columns of known ones."""
+        """Insert new keys and refresh all other columns of known ones, unless they come from a newer snapshot.
+
+        The rows belong to no snapshot that can be run again.
+        """
         spec = TABLES[table]
-        fresh = staged.withColumnRenamed("timestamp", "last_timestamp").select(*spec.final.names)
         number, parts = self._pointer(table)
-        if parts:
-            rows = merge_by_key(self._scan(spec, parts), fresh, spec.key, self._order(spec))
-        else:
-            rows = distinct_on(fresh, spec.key, self._order(spec))
-        self._replace_dictionary(spec, rows, number)
+        fresh = staged.withColumnRenamed("timestamp", "last_timestamp").select(*spec.final.names).withColumn("_stored", F.lit(0))
+        apart = set(parts) - {_WHOLE, _BASE}
 
-    def replace_dictionary(self, table: str, rows: DataFrame) -> None:
-        self._replace_dictionary(TABLES[table], rows, self._pointer(table)[0])
+        def merged(part: str) -> int:
+            known = self._scan(spec, {part: parts[part]} if part in parts else {}).withColumn("_stored", F.lit(1))
+            rows = newest_by_key(fresh.unionByName(known), spec.key, "last_timestamp", ["_stored", *self._order(spec)])
+            return self._stored(spec, rows)
 
-    def _replace_dictionary(self, spec: TableSpec, rows: DataFrame, number: int) -> None:
-        rev = self._next_revision(spec.name)
-        rows.select(*spec.final.names).write.parquet(f"{self._data(spec.name)}/rev={rev}")
-        self._switch(spec.name, number + 1, {_WHOLE: rev})
+        base = merged(_BASE if apart or _BASE in parts else _WHOLE)
+        self._switch(table, number + 1, {**parts, _BASE: base, _WHOLE: merged(_WHOLE) if apart else base})
+
+    def put_snapshot(self, table: str, staged: DataFrame, ts: datetime) -> bool:
+        """Make the rows what the snapshot contributes to a dictionary.
+
+        A new snapshot is merged into the table. One that is there already has the table made again from the base and
+        the snapshots kept apart. True if later snapshots may have met other keys than there are now.
+        """
+        spec = TABLES[table]
+        number, parts = self._pointer(table)
+        part = part_of(ts)
+        fresh = staged.withColumnRenamed("timestamp", "last_timestamp").select(*spec.final.names)
+        apart = {p: rev for p, rev in parts.items() if p not in (_WHOLE, _BASE)}
+        before = self._keys(spec, apart[part]) if part in apart else None
+        rev = self._stored(spec, self._newest(spec, fresh))
+        whole_rev = rev
+        if part in apart:
+            base = {_BASE: parts[_BASE]} if _BASE in parts else {}
+            whole_rev = self._stored(spec, self._newest(spec, self._scan(spec, {**base, **apart, part: rev})))
+        elif _WHOLE in parts:
+            whole_rev = self._stored(spec, self._newest(spec, self._scan(spec, {_WHOLE: parts[_WHOLE], part: rev})))
+        self._switch(table, number + 1, {**parts, part: rev, _WHOLE: whole_rev})
+        if not apart or part >= max(apart):
+            return False
+        return (before or (0, None)) != self._keys(spec, rev)
+
+    def _keys(self, spec: TableSpec, rev: int) -> tuple:
+        """Number and combined hash of a part's keys, which are distinct."""
+        keys = self._scan(spec, {_BASE: rev}).agg(F.count("*"), F.bit_xor(F.xxhash64(*spec.key)))
+        return tuple(keys.first())
+
+    def settle_dictionary(self, table: str, before: datetime) -> None:
+        """Fold the snapshots before a time into the base: they can't be run again."""
+        spec = TABLES[table]
+        number, parts = self._pointer(table)
+        old = {p: rev for p, rev in parts.items() if p not in (_WHOLE, _BASE) and time_of(p) < before}
+        if not old:
+            return
+        kept = {p: rev for p, rev in parts.items() if p not in old}
+        if not set(kept) - {_WHOLE, _BASE}:
+            # Nothing is newer, so the table itself is the base.
+            self._switch(table, number + 1, {**kept, _BASE: parts[_WHOLE]})
+            return
+        sources = {**old, **({_BASE: parts[_BASE]} if _BASE in parts else {})}
+        base = self._stored(spec, self._newest(spec, self._scan(spec, sources)))
+        self._switch(table, number + 1, {**kept, _BASE: base})
+
+    def trim_dictionary(self, table: str, edge: datetime) -> None:
+        """Drop rows last seen before a time."""
+        spec = TABLES[table]
+        number, parts = self._pointer(table)
+        if self.read(table).where(F.col("last_timestamp") < F.lit(edge)).isEmpty():
+            return
+        kept = {p: rev for p, rev in parts.items() if p in (_WHOLE, _BASE) or time_of(p) >= edge}
+        for part in (_WHOLE, _BASE):
+            if part in kept:
+                kept[part] = self._stored(spec, keep_seen_since(self._scan(spec, {part: kept[part]}), F.lit(edge)))
+        self._switch(table, number + 1, kept)
 
     def upsert_history(
         self, table: str, staged: DataFrame, times: Iterable[datetime], unique: bool = False

@@ -1,7 +1,9 @@
 """The snapshot chain as a stream: file source, one micro-batch per trigger, idempotent ``foreachBatch``.
 
 The checkpoint replays a failed batch, and every load is an upsert by key and snapshot, so a replay changes
-nothing. A snapshot that arrives late or again is run on all its replies and the pairs around it are derived anew.
+nothing. ``stream_snapshots`` runs a snapshot once, when the watermark has passed its three hours; what arrives later is
+found by count, parsed alone and taken in as if it had come in time. ``stream_replies`` runs a snapshot whenever it gets
+replies, for callers that can't wait.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwatch.functions.calendar import point_floor, utc
-from shelfwatch.plans.jobs import rederive_changes, run_again, run_full, run_point
+from shelfwatch.functions.calendar import GRID_HOURS, point_floor, utc
+from shelfwatch.plans.jobs import catch_up, rederive_changes, run_again, run_full, run_point
 from shelfwatch.plans.manifest import Manifest
 from shelfwatch.sources.warehouse import Warehouse
 
+
 def batch_times(batch: DataFrame, column: str) -> list[datetime]:
     """Snapshot times of a batch, eight a day at most; a time off the grid is refused."""
     text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
@@ -50,9 +53,25 @@ def apply_landing_batch(
             run_again(warehouse, landing, ts, warehouse_file, strict)
 
 
-def _available_now(stream: DataFrame, checkpoint: str, apply) -> StreamingQuery:
+def run_complete(
+    warehouse: Warehouse, complete: DataFrame, landing: DataFrame, warehouse_file: str | None = None, strict: bool = False
+) -> None:
+    """Run each snapshot that is complete, oldest first, then those that got replies after their run."""
+    manifest = Manifest(warehouse)
+    for ts in batch_times(complete, "snapshot_ts"):
+        if any(unit == "finish" for unit, _ in manifest.done(ts)):
+            continue
+        stored = warehouse.snapshot_times("stocks")
+        if stored and ts < stored[-1]:
+            run_again(warehouse, landing, ts, warehouse_file, strict)
+        else:
+            (run_point if manifest.full_done(ts) else run_full)(warehouse, landing, ts, warehouse_file, strict)
+    catch_up(warehouse, landing, warehouse_file, strict)
+
+
+def _available_now(stream: DataFrame, checkpoint: str, apply, mode: str = "append") -> StreamingQuery:
     return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
         .trigger(availableNow=True)
         .foreachBatch(apply)
         .start()
@@ -74,11 +93,33 @@ def stream_replies(
 ) -> StreamingQuery:
     """Drain ``arrivals``, the stream of the folder that ``landing`` reads, into the warehouse.
 
-    The stream only names the snapshots that got replies; a snapshot's job reads all its replies from ``landing``, so the
-    order of arrival and the size of micro-batches make no difference.
+    The stream only names the snapshots that got replies; a snapshot's job takes all its replies from ``landing``, parses
+    those it hasn't parsed, and replaces what it loaded before, so the order of arrival makes no difference to the tables.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
         apply_landing_batch(warehouse, batch, landing, warehouse_file, strict)
 
     return _available_now(arrivals, checkpoint, apply)
+
+
+def stream_snapshots(
+    warehouse: Warehouse, arrivals: DataFrame, landing: DataFrame, checkpoint: str, delay: str = "0 hours",
+    warehouse_file: str | None = None, strict: bool = False,
+) -> StreamingQuery:
+    """Drain ``arrivals``, the stream of the folder that ``landing`` reads, running each snapshot once it is complete.
+
+    A snapshot is a tumbling window of three hours. It is complete when the watermark, which is the newest snapshot seen
+    less ``delay``, reaches its end; until then its replies may come in any number of files and batches. The newest one
+    stays open: the next snapshot closes it. The state of the stream is one count per open window.
+    """
+    complete = (
+        arrivals.select("snapshot_ts").withWatermark("snapshot_ts", delay)
+        .groupBy(F.window("snapshot_ts", f"{GRID_HOURS} hours")).agg(F.count("*").alias("replies"))
+        .select(F.col("window.start").alias("snapshot_ts"))
+    )
+
+    def apply(batch: DataFrame, _: int) -> None:
+        run_complete(warehouse, batch, landing, warehouse_file, strict)
+
+    return _available_now(complete, checkpoint, apply)

@@ -83,17 +83,17 @@ def test_restart_gives_the_same_tables(spark, warehouse, tmp_path, monkeypatch):
 
     load = jobs.SnapshotJob.load
 
-    def failing(self, table, frame):
+    def failing(self, table, frame, replace=False):
         if table == "positions":
             raise RuntimeError("lost")
-        load(self, table, frame)
+        load(self, table, frame, replace)
 
     monkeypatch.setattr(jobs.SnapshotJob, "load", failing)
     with pytest.raises(RuntimeError, match="lost"):
         run_full(warehouse, landing, ts)
     assert Manifest(warehouse).choose(at(1, 7)) == (ts, "full")
     loaded = []
-    monkeypatch.setattr(jobs.SnapshotJob, "load", lambda self, t, f: (loaded.append(t), load(self, t, f)))
+    monkeypatch.setattr(jobs.SnapshotJob, "load", lambda self, t, f, r=False: (loaded.append(t), load(self, t, f, r)))
     run_full(warehouse, landing, ts)
     assert loaded == ["positions", "stocks"]
     for table in TABLES:
