@@ -179,7 +179,7 @@ class SnapshotJob:
         """Upsert, or with ``replace`` make the rows the whole content of the snapshot in a history."""
         spec = TABLES[table]
         dictionaries = {
-            name: self.warehouse.read(name)
+            name: self.warehouse.as_of(name, self.ts)
             for lookup in spec.lookups
             for name in (lookup.dictionary, *([lookup.parent.dictionary] if lookup.parent else []))
         }
@@ -341,7 +341,7 @@ def _load_point(
     job: SnapshotJob, manifest: Manifest | None, warehouse_file: str | None, replace: bool = False
 ) -> None:
     """Sizes, warehouses and stocks of the products seen on the day of the snapshot."""
-    today = active_products(job.warehouse.read("products"), F.lit(midnight(job.ts)))
+    today = active_products(job.warehouse.as_of("products", job.ts), F.lit(midnight(job.ts)))
     frames = job.stage_stocks(today, warehouse_file)
     job.keep_extraction_rejects()
     job.load_all(POINT_IMPORT_WAVES, frames, manifest, replace)

@@ -141,6 +141,17 @@ class Warehouse:
         wanted = set(map(utc, times))
         return self.read(table, lambda ts: ts in wanted)
 
+    def as_of(self, table: str, ts: datetime) -> DataFrame:
+        """A dictionary as the snapshot of a time met it: without what later snapshots contributed."""
+        spec = TABLES[table]
+        _, parts = self._pointer(table)
+        last = part_of(ts)
+        apart = {p: rev for p, rev in parts.items() if p not in (_WHOLE, _BASE)}
+        if all(p <= last for p in apart):
+            return self.read(table)
+        known = {p: rev for p, rev in parts.items() if p == _BASE or p in apart and p <= last}
+        return self._newest(spec, self._scan(spec, known))
+
     def _scan(self, spec: TableSpec, parts: dict[str, int]) -> DataFrame:
         if not parts:
             return empty_frame(self.spark, spec.final)
