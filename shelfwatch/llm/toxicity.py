@@ -4,7 +4,8 @@ Words written with digits or signs for letters, with separators inside, stretche
 read as what the writer saw: a Viterbi search over the lattice of letters that each sign may stand for, scored by
 a character model of the whole corpus and by the price of each disguise. The restored words and their starts are
 counted in toxic and clean learning documents; a document's score is a logistic function of its strongest words,
-fitted across two folds so that words seen once don't mislead it.
+fitted across two folds so that words seen once don't mislead it. Words fall into 2^20 cells by hash: beyond some hundred
+thousand different words in the labelled documents cells are shared and evidence gets weaker, which is the model's limit.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
-# Prices, in nats, of reading a sign as a letter, of skipping a separator, and of skipping a repeated letter.
-SIGN, SKIP, REPEAT = 1.5, 1.0, 0.5
-LONGEST_WORD = 64
+# Prices, in nats: of reading a sign as a letter, of skipping a separator, of skipping a sign that may stand for a letter
+# (dearer than reading it), of skipping a repeated letter; and, of a token left as it is, of a digit and of any other sign.
+SIGN, SKIP, SKIP_SIGN, REPEAT = 1.5, 1.0, 7.0, 0.5
+DIGIT, OTHER = 2.5, 6.0
 _CACHE = 300_000
 _SPACED = re.compile(r"(?<!\w)[^\W_](?:[\W_]{1,3}[^\W_](?!\w)){2,}")
-_EDGES = re.compile(r"^[^\w@$|!+(<€£¡]+|[\W_]+$")
+_EDGES = re.compile(r"^[^\w@$|!+(<€£¡]+|[^\w@$|€£]+$|_+$")
 _THRICE = re.compile(r"(.)\1\1")
 
 
@@ -52,29 +54,57 @@ class Channel:
         p3 = (three + 8 * p2[None]) / (three.sum(axis=2, keepdims=True) + 8)
         self.price = (-np.log(p3)).astype(np.float32)
 
+    def _plain(self, token: str) -> float:
+        """Price of a token as it is: its runs of letters are words of their own, its signs are drawn one by one."""
+        table, cost, a, b = tx.symbol_table(), 0.0, 0, 0
+        for c in token:
+            if c.isalpha():
+                s = int(table[ord(c)])
+                cost += float(self.price[a, b, s])
+                a, b = b, s
+            else:
+                cost += DIGIT if c.isdigit() else OTHER if c in STANDS_FOR else SKIP
+                if b:
+                    cost += float(self.price[a, b, 0])
+                a = b = 0
+        return cost + (float(self.price[a, b, 0]) if b else 0.0)
+
     def restore(self, token: str) -> str:
-        """The likeliest letters behind a lower-cased token; '' if it has none."""
-        table = tx.symbol_table()
-        paths = {(0, 0, ""): (0.0, "")}
+        """The likeliest letters behind a lower-cased token; the token itself if that is likelier.
+
+        The search is exact: a state is the last two symbols and the last letter, of which a place has a few. A path is
+        a chain of letters that states share, so time and memory grow with the token's length.
+        """
+        table, price = tx.symbol_table(), self.price
+        paths: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
         for c in token:
-            following: dict[tuple, tuple[float, str]] = {}
-
-            def take(key, cost, word):
-                if key not in following or cost < following[key][0]:
-                    following[key] = (cost, word)
-
-            for (a, b, last), (cost, word) in paths.items():
-                letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN) for x in STANDS_FOR.get(c, "")]
-                for x, more in letters:
-                    s = int(table[ord(x)]) if ord(x) < len(table) else 0
-                    take((b, s, x), cost + more + float(self.price[a, b, s]), word + x)
-                if not c.isalpha():
-                    take((a, b, last), cost + SKIP, word)
-                if c == last:
-                    take((a, b, last), cost + REPEAT, word)
-            paths = dict(sorted(following.items(), key=lambda kv: kv[1][0])[:24])
-        ends = [(cost + float(self.price[a, b, 0]), word) for (a, b, _), (cost, word) in paths.items()]
-        return min(ends)[1] if ends else ""
+            following: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
+            alpha = c.isalpha()
+            options = ((c, 0.0),) if alpha else tuple((x, SIGN) for x in STANDS_FOR.get(c, ""))
+            skip = SKIP_SIGN if options else SKIP
+            for state, (cost, chain) in paths.items():
+                a, b, last = state
+                for x, more in options:
+                    s = int(table[ord(x)])
+                    total, key = cost + more + float(price[a, b, s]), (b, s, x)
+                    if key not in following or total < following[key][0]:
+                        following[key] = (total, (x, chain))
+                    if x == last:
+                        # The letter once more: of one written several times.
+                        again = cost + more + REPEAT
+                        if state not in following or again < following[state][0]:
+                            following[state] = (again, chain)
+                if not alpha and (state not in following or cost + skip < following[state][0]):
+                    following[state] = (cost + skip, chain)
+            paths = following
+        cost, chain = min(((cost + float(price[a, b, 0]), chain) for (a, b, _), (cost, chain) in paths.items()), key=lambda p: p[0])
+        if chain is None or not token.isalpha() and self._plain(token) < cost:
+            return token
+        letters = []
+        while chain is not None:
+            letters.append(chain[0])
+            chain = chain[1]
+        return "".join(reversed(letters))
 
 
 class Words:
@@ -85,15 +115,12 @@ class Words:
         self.kept: dict[str, tuple[int, ...]] = {}
 
     def restored(self, token: str) -> str:
-        if token.isalpha():
-            return self.channel.restore(token) if len(token) <= LONGEST_WORD and _THRICE.search(token) else token
-        bare = _EDGES.sub("", token)
-        if len(bare) > LONGEST_WORD or bare.isalpha() and not _THRICE.search(bare):
-            return bare
-        letters = sum(map(str.isalpha, bare))
-        if not letters or 2 * letters < len(bare) and not _SPACED.fullmatch(bare):
+        """A token's word: plain words are as they stand, all others go through the lattice, whatever their length."""
+        bare = token if token.isalpha() else _EDGES.sub("", token)
+        if not bare or bare.isdigit() or bare.isalpha() and not _THRICE.search(bare):
+            # A number alone is a number: nothing beside it says that its digits are letters.
             return bare
-        return self.channel.restore(bare) or bare
+        return self.channel.restore(bare)
 
     def distinct(self, text: str) -> set[str]:
         """Lower-cased tokens of a text, spaced-out words being tokens as well."""
@@ -240,7 +267,9 @@ def toxicity(
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = labels.where(learnable).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("toxic IN (0, 1)")
-    model = spark.sparkContext.broadcast(learn(spark, texts, texts.join(marks.hint("merge"), "id").select("id", "text", "toxic")))
+    # Only documents that may be learned from travel to their labels.
+    apart = docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    model = spark.sparkContext.broadcast(learn(spark, texts, apart.join(marks.hint("merge"), "id").select("id", "text", "toxic")))
     kept = docs.drop("score", "predicted")
     names = [*kept.columns, "score", "predicted"]
     at_text = kept.columns.index(text_col)
