@@ -41,7 +41,7 @@ _tokenizers: dict[tuple[str, str | None], _Ids] = {}
 
 
 class _Ids:
-    """Ids of texts as the ``tokenizers`` file gives them, special tokens' strings being ordinary text.
+    """Ids of texts as the ``tokenizers`` file gives them, special tokens' strings being special tokens as there.
 
     With ``ranks``, the same vocabulary as a rank file, ``tiktoken`` merges them: the ids are the same at less
     than half the time.
@@ -52,7 +52,6 @@ class _Ids:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, k in tokenizer.get_vocab().items():
             self.ends[k] = token[-1] in ".!?Ċ"
@@ -63,7 +62,9 @@ class _Ids:
 
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+            special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+            coder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens=special)
+            self.encode = lambda text: coder.encode(text, allowed_special="all")
 
 
 def token_ids(path: str, ranks: str | None = None) -> _Ids:
@@ -147,7 +148,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
-    A document is its text's ids (special tokens' strings being ordinary text) and id 1; a null or empty text is
+    A document is its text's ids, the strings of special tokens being those tokens, and id 1; a null or empty text is
     id 1 alone. Sequences hold at most ``size`` ids; ``sequence_id`` is the input partition's number times 2^33 plus
     the sequence's number in it. Rows with null or repeated ids are packed like others; other columns are
     not read. A text of any length is cut into as many sequences as it takes. An empty table gives no rows.
