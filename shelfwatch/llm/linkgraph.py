@@ -60,7 +60,8 @@ def _links(pages: DataFrame) -> DataFrame:
 def _spread(scratch: Scratch, hosts: DataFrame, edges: DataFrame, start: str, rounds: int, damping: float) -> DataFrame:
     """``(host, rank)`` after ``rounds`` steps of personalised PageRank from the column ``start`` of ``hosts``.
 
-    What reaches a host without links returns to the seeds. Every round is one join and one sum, written every third.
+    What reaches a host without links returns to the seeds. That raises the ranks by a common factor only, so they are
+    scaled to a sum of one at the end. Every round is one join and one sum, written every third.
     """
     out = edges.groupBy("source").agg(F.sum("weight").alias("total"))
     step = scratch.store(edges.join(out, "source").select("source", "target", (F.col("weight") / F.col("total")).alias("p")), "steps")
@@ -73,8 +74,10 @@ def _spread(scratch: Scratch, hosts: DataFrame, edges: DataFrame, start: str, ro
         moved = ranks.join(step, ranks.host == step.source).groupBy("target").agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
         arrived = seeds.join(moved, seeds.host == moved.target, "left").select("host", "seed", F.coalesce("got", F.lit(0.0)).alias("got"))
         held = arrived.select("host", "seed", (F.lit(damping) * F.col("got") + F.lit(1 - damping) * F.col("seed")).alias("rank"))
-        ranks = scratch.store(held, "ranks").select("host", "rank") if k % 3 == 2 else held.select("host", "rank")
-    return ranks
+        last = k % 3 == 2 or k == rounds - 1
+        ranks = scratch.store(held, "ranks").select("host", "rank") if last else held.select("host", "rank")
+    whole = ranks.agg(F.sum("rank")).first()[0]
+    return ranks.select("host", (F.col("rank") / whole).alias("rank")) if whole else ranks
 
 
 def judge_urls(

@@ -60,6 +60,7 @@ def _ranks(name: str, start: str, source: str, target: str, rounds: int) -> str:
             f"{name}_{k} AS (SELECT h.host, any_value(h.seed) AS seed, 0.85 * coalesce(sum(r.rank * e.p), 0) + 0.15 * any_value(h.seed) AS rank "
             f"FROM {name}_{k - 1} h LEFT JOIN {name}_p e ON e.t = h.host LEFT JOIN {name}_{k - 1} r ON r.host = e.s GROUP BY h.host)"
         )
+    steps.append(f"{name}_all AS (SELECT host, rank / nullif(sum(rank) OVER (), 0) AS rank FROM {name}_{rounds})")
     return ",\n".join(f"{x.split(' AS ', 1)[0]} AS MATERIALIZED {x.split(' AS ', 1)[1]}" for x in steps)
 
 
@@ -97,8 +98,8 @@ WITH rests AS (
     SELECT * FROM seeds UNION ALL SELECT DISTINCT target, 0.0::DOUBLE, 0.0::DOUBLE FROM links WHERE target NOT IN (SELECT host FROM seeds)
 ), {_ranks("t", "good", "source", "target", 8)},
 {_ranks("d", "bad", "target", "source", 8)}
-SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN d.rank > t.rank + 1e-12 THEN 'block' ELSE 'allow' END) AS verdict
-FROM fixed LEFT JOIN t_8 t USING (host) LEFT JOIN d_8 d USING (host)
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN coalesce(d.rank, 0) > coalesce(t.rank, 0) + 1e-12 THEN 'block' ELSE 'allow' END) AS verdict
+FROM fixed LEFT JOIN t_all t USING (host) LEFT JOIN d_all d USING (host)
 """
 
 
