@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwatch.llm import text as tx
 from shelfwatch.llm.counters import count_cells
@@ -161,17 +162,17 @@ def find_leaks(
 
     An item leaks where an alignment scores at least ``share`` of its words and at least ``least``, or all its words. Items
     of fewer than three words, null and empty texts leak nothing. Repeated documents or items give rows
-    each; null ids are kept. Word places count letter-digit runs from 0. Other columns are not read.
+    each; null ids are kept. Word places count letter-digit runs from 0. Other columns are not read. Where both id
+    columns have one name, the item's comes out as ``item_`` and that name.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema[item_col].dataType
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = (
-        f"`{id_col}` {id_type}, `{item_col}` {item_type.simpleString()}, score bigint, item_words bigint, "
+        f"id {texts.schema['id'].dataType.simpleString()}, item {item_type.simpleString()}, score bigint, item_words bigint, "
         "first_word bigint, end_word bigint"
     )
-    arrow_item = pa.int64() if item_type.simpleString() == "bigint" else None
+    arrow_item = to_arrow_type(item_type)
     found = spark.createDataFrame([], schema)
-    texts = docs.select(id_col, text_col)
     for sent in _prepared(spark, docs, items, id_col, text_col, item_col, item_text, block_words):
 
         def search(batches, sent=sent):
@@ -185,11 +186,11 @@ def find_leaks(
                 columns = list(zip(*out, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(columns[0], arrow_item), *[pa.array(c, pa.int64()) for c in columns[1:]]],
-                    names=[id_col, item_col, "score", "item_words", "first_word", "end_word"],
+                    names=["id", "item", "score", "item_words", "first_word", "end_word"],
                 )
 
         found = found.union(texts.mapInArrow(search, schema))
-    return found
+    return found.toDF(id_col, item_col if item_col != id_col else f"item_{item_col}", *found.columns[2:])
 
 
 def drop_leaks(
