@@ -16,9 +16,13 @@ from shelfwatch.llm.toxicity import toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below 0.5, learned from the labels of the learning rows."""
-    scored = toxicity(spark, docs, table(spark, sf_dir, "labels"), F.coalesce(remainder(5) != 0, F.lit(False)))
-    return scored.where("predicted = 0").select(*docs.columns)
+    """Documents with a toxicity score below 0.5, learned from the labels of the learning rows.
+
+    Columns of any name, those of the score too, come out as they went in.
+    """
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    scored = toxicity(spark, rows, table(spark, sf_dir, "labels"), F.coalesce(remainder(5) != 0, F.lit(False)))
+    return scored.where("predicted = 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,14 +61,17 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Learned models and an alignment decide what stays; SQL can't express them. Tests hold run() against brute force.
+# Learned models and an alignment decide what stays; SQL can't express them. Tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written and read again."""
+    """The stages over ``documents``, each written and read again; a stage's input goes when its output is there."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch.store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        done = scratch.store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            scratch.drop(docs)
+        docs = done
     return docs
