@@ -27,8 +27,10 @@ from shelfwatch.operators.resolve import resolve
 from shelfwatch.operators.retention import active_products, retention_edge
 from shelfwatch.plans.manifest import TIME, Manifest
 from shelfwatch.plans.parsed import ParsedReplies, forget_parsed
-from shelfwatch.session import delete_folder, scratch_folder
-from shelfwatch.sources.landing import ACCEPTED_CODES, read_warehouse_file, refused_replies, reject, replies
+from shelfwatch.operators.dedupe import distinct_on
+from shelfwatch.session import delete_folder, empty_frame, scratch_folder
+from shelfwatch.sources.landing import ACCEPTED_CODES, LANDING, read_warehouse_file, refused_replies, reject, replies
+from shelfwatch.sources.staging_text import checked_lines, to_lines
 from shelfwatch.sources.warehouse import Warehouse, part_of
 from shelfwatch.tables import DICTIONARIES, FULL_IMPORT_WAVES, HISTORIES, POINT_IMPORT_WAVES, TABLES, TableSpec
 
@@ -170,6 +172,11 @@ class SnapshotJob:
             self._refuse("late", rejects)
         self._keep_rejects("late", rejects)
 
+    def keep_line_rejects(self, table: str, rejects: DataFrame) -> None:
+        if self.strict:
+            self._refuse(f"{table} file", rejects)
+        self._keep_rejects(f"{table}-lines", rejects)
+
     def _refuse(self, stage: str, rejects: DataFrame) -> None:
         sample = rejects.limit(1).collect()
         if sample:
@@ -431,6 +438,30 @@ def catch_up(
     return loaded
 
 
+def import_files(warehouse: Warehouse, folder: str, ts: datetime, waves: Waves = FULL_IMPORT_WAVES, strict: bool = False) -> None:
+    """Take a snapshot's staging files, one folder a table, into the tables; repeated lines and imports change nothing.
+
+    Lines that are no rows, or rows of another snapshot, become rejects ``<table>-lines``; rows that don't resolve, the
+    usual ones. A table without files is left as it is.
+    """
+    with closing(SnapshotJob(warehouse, empty_frame(warehouse.spark, LANDING), ts, strict)) as job:
+        for wave in waves:
+            present = [t for t in wave if warehouse.files.names(f"{folder}/{t}")]
+
+            def load(table: str) -> None:
+                spec = TABLES[table]
+                lines = warehouse.spark.read.option("lineSep", "\n").text(f"{folder}/{table}")
+                rows, bad = checked_lines(lines, spec)
+                own = F.col("timestamp") == F.lit(job.ts)
+                other = to_lines(rows.where(~own), spec).withColumn("reason", F.lit("other snapshot"))
+                job.keep_line_rejects(table, bad.unionByName(other))
+                mine = rows.where(own)
+                # History keys are one row each before they are loaded; a dictionary's load sees to it.
+                job.load(table, distinct_on(mine, spec.key) if spec.is_history else mine)
+
+            at_once(warehouse.spark, [lambda table=table: load(table) for table in present])
+
+
 def run_due(
     warehouse: Warehouse, landing: DataFrame, now: datetime, warehouse_file: str | None = None,
     strict: bool = False, clock=lambda: datetime.now(timezone.utc),

@@ -51,6 +51,27 @@ def from_lines(lines: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def checked_lines(lines: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows of the lines that are rows, and the other lines with a ``reason``: the number of fields, or the first bad one."""
+    fields = spec.staging.fields
+    cut = lines.select("value", F.split("value", SEPARATOR, -1).alias("_fields"))
+
+    def value(i: int, field: T.StructField) -> Column:
+        raw = F.get("_fields", F.lit(i))
+        return F.when(raw != NULL_FIELD, F.replace(raw, F.lit("\\\\"), F.lit("\\"))).try_cast(field.dataType)
+
+    values = {f.name: value(i, f) for i, f in enumerate(fields)}
+    bad = [
+        F.when((F.get("_fields", F.lit(i)) != NULL_FIELD) & values[f.name].isNull(), F.lit(f"bad {f.name}")) for i, f in enumerate(fields)
+    ]
+    count = F.when(F.size("_fields") != len(fields), F.concat(F.size("_fields").cast("string"), F.lit(" fields")))
+    checked = cut.withColumn("reason", F.coalesce(count, *bad))
+    return (
+        checked.where("reason IS NULL").select(*[v.alias(n) for n, v in values.items()]),
+        checked.where("reason IS NOT NULL").select("value", "reason"),
+    )
+
+
 def read_staging_text(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return from_lines(spark.read.option("lineSep", "\n").text(path), spec)
 

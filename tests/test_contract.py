@@ -6,7 +6,7 @@ import pytest
 from oracle import connect, difference
 
 import __spark_entry__ as contract
-from shelfwatch.contract import market, relational, replies, runs, snapshots
+from shelfwatch.contract import market, relational, replies, runs, snapshots, upkeep
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
@@ -17,7 +17,7 @@ def con():
     return connect(FOLDER)
 
 
-LIBRARY = {**snapshots.QUERIES, **replies.QUERIES, **relational.QUERIES, **runs.QUERIES, **market.QUERIES}
+LIBRARY = {**snapshots.QUERIES, **replies.QUERIES, **relational.QUERIES, **runs.QUERIES, **market.QUERIES, **upkeep.QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(LIBRARY))
