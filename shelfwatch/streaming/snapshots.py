@@ -22,11 +22,14 @@ from shelfwatch.sources.warehouse import Warehouse
 
 def batch_times(batch: DataFrame, column: str) -> list[datetime]:
     """Snapshot times of a batch, eight a day at most; a time off the grid is refused."""
-    text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
-    stray = batch.where(F.col(column).isNull() | (F.col(column) != point_floor(F.col(column)))).select(text).limit(1).collect()
-    if stray:
-        raise ValueError(f"{column} {stray[0].ts} is not on the snapshot grid")
-    rows = batch.select(text).distinct().collect()
+    text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    on_grid = F.coalesce(F.col(column) == point_floor(F.col(column)), F.lit(False))
+    # One pass: times off the grid, of which there may be any number, fall into one group.
+    found = batch.select(F.when(on_grid, text).alias("ts"), F.when(~on_grid, F.coalesce(text, F.lit("null"))).alias("stray"))
+    rows = found.groupBy("ts").agg(F.min("stray").alias("stray")).collect()
+    for r in rows:
+        if r.ts is None:
+            raise ValueError(f"{column} {r.stray} is not on the snapshot grid")
     return sorted(utc(datetime.fromisoformat(r.ts)) for r in rows)
 
 
@@ -82,7 +85,12 @@ def stream_stocks(warehouse: Warehouse, stocks: DataFrame, checkpoint: str, prep
     """Drain stock rows into the warehouse; ``prepare`` turns a raw micro-batch into stock rows."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        apply_stock_batch(warehouse, prepare(batch) if prepare else batch)
+        # The batch is read for its times and for the load.
+        rows = (prepare(batch) if prepare else batch).persist()
+        try:
+            apply_stock_batch(warehouse, rows)
+        finally:
+            rows.unpersist()
 
     return _available_now(stocks, checkpoint, apply)
 
