@@ -28,6 +28,8 @@ from shelfwatch.llm.components import components
 from shelfwatch.llm.counters import count_cells
 from shelfwatch.llm.storage import Scratch
 
+# Pairs of one vertex that one task checks; the more, the fewer copies of its set travel.
+DEALT = 128
 CELLS = 1 << 22
 _KEYS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
 
@@ -156,15 +158,28 @@ def _checked(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int, p
     )
     sets = _whole_sets(texts.select("id", "text"), words, common).dropDuplicates(["vertex"])
     shared = F.size(F.array_intersect("a_items", "b_items"))
+    joined = _with_items(_with_items(pairs, sets, "a", "b"), sets, "b", "a")
     return (
-        pairs.join(sets.select(F.col("vertex").alias("a"), F.col("items").alias("a_items")), "a")
-        .join(sets.select(F.col("vertex").alias("b"), F.col("items").alias("b_items")), "b")
-        .withColumn("shared", shared.cast("bigint"))
+        joined.withColumn("shared", shared.cast("bigint"))
         .where(100 * F.col("shared") >= percent * (F.size("a_items") + F.size("b_items") - F.col("shared")))
         .select("a", "b")
     )
 
 
+def _with_items(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
+    """``pairs`` with the whole set of one side. A vertex of many pairs, such as a leader, has them dealt over several
+    tasks, about ``DEALT`` to each, which get a copy of its set each."""
+    many = pairs.groupBy(side).agg(F.count("*").alias("met")).where(F.col("met") > DEALT)
+    many = many.select(F.col(side).alias("hot"), F.ceil(F.col("met") / DEALT).cast("int").alias("parts"))
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"))
+    dealt = pairs.join(many, F.col(side) == F.col("hot"), "left").withColumn("part", part).drop("hot", "parts")
+    copies = sets.join(many, F.col("vertex") == F.col("hot"), "left").select(
+        F.col("vertex").alias(side), F.col("items").alias(f"{side}_items"),
+        F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"),
+    )
+    return dealt.join(copies, [side, "part"]).drop("part")
+
+
 def jaccard_components(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = 4, percent: int = 85,

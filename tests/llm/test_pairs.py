@@ -152,3 +152,22 @@ def test_leaks_equal_brute_force(spark, prose, rng, block_words):
     assert decontaminate.find_leaks(spark, frame, bench.where("false")).count() == 0
     assert decontaminate.find_leaks(spark, frame.where("false"), bench).count() == 0
     assert decontaminate.drop_leaks(spark, frame.withColumn("doc_id", F.lit(None).cast("long")), bench).count() == len(docs) - len(leaked)
+
+
+def test_hot_vertices_are_dealt_out_without_loss(spark, prose, rng, monkeypatch):
+    """One text and many edits of it: a leader of more pairs than a task takes."""
+    from shelfwatch.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "DEALT", 3)
+    base = prose(60).split()
+    texts = [" ".join(base)] * 3
+    for k in range(40):
+        w = list(base)
+        w[k] = f"edit{k}"
+        texts.append(" ".join(w))
+    sets = [shingles(t, 4) for t in texts]
+    links = [(a, b) for b in range(len(texts)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = roots(len(texts), links)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = jaccard_components(spark, docs).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(want))
