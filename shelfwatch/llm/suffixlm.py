@@ -1,6 +1,6 @@
 """Probabilistic suffix tree over words, built and applied by Spark.
 
-Tokens are words and one end for each text. A node of the tree is a context of up to ``DEPTH`` preceding words. Counts come
+Tokens are words and one end for each text. A node of the tree is a context of up to two preceding words. Counts come
 from all training rows. A context is kept if its parent is kept, it was seen often enough, and its next words diverge from
 its parent's prediction: the log-likelihood gain over its frequent followers must exceed half a log count for each of
 them. A kept context predicts by absolute discounting with its parent:
