@@ -65,10 +65,13 @@ def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatc
     Like ``count_cells``, with a bit a cell. ``size`` is a multiple of 512."""
 
     def mark(batches):
-        marks = np.zeros(size, bool)
+        marks = np.zeros(size // 8, np.uint8)
         for found in cells(batches):
-            marks[found] = True
-        for k, part in enumerate(np.split(np.packbits(marks), _PARTS)):
+            cell = np.unique(found)
+            at, bit = cell >> 3, (128 >> (cell & 7)).astype(np.uint8)
+            start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
+            marks[at[start]] |= np.bitwise_or.reduceat(bit, start) if len(at) else bit
+        for k, part in enumerate(np.split(marks, _PARTS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["part", "counts"])
 

@@ -1,22 +1,28 @@
 """Probabilistic suffix tree over words, built and applied by Spark.
 
-Tokens are words and one end for each text. A node of the tree is a context of up to two preceding words. Counts come
-from all training rows. A context is kept if its parent is kept, it was seen often enough, and its next words diverge from
-its parent's prediction: the log-likelihood gain over its frequent followers must exceed half a log count for each of
-them. A kept context predicts by absolute discounting with its parent:
+Tokens are words and one end for each text. A node of the tree is a context of up to ``depth`` preceding words; levels are
+added until none has a context left. Counts come from all training rows. A context is kept if its parent, which lacks the
+first word, is kept, it was seen often enough, and its next words diverge from its parent's prediction: the log-likelihood
+gain over its frequent followers must exceed half a log count for each of them. A kept context predicts by absolute
+discounting with its parent:
 
     p(w | s) = (c(s, w) - D) / c(s) + g(s) p(w | parent(s))        p(w) = (c(w) + 1) / (N + V + 1)
 
 Followers seen once, and rare words, are left to the parent, so g(s) is what remains. A text's log probability under its
-longest kept suffixes is then a sum over its words, word pairs and word triples of one number each,
-which is joined to them by hash: neither the model nor a text's neighbours are gathered anywhere. Bit tables of
-the keys (eight bits a key, 2^29 at most) let tasks skip pairs and triples that can't be in the model; a wrong bit
-only costs a row.
+longest kept suffixes is then a sum over its words and word runs of one number each. Tasks know the numbers of the
+most frequent runs (a broadcast table of at most ``HEAD`` rows) and add them up in place; all others are joined by
+hash, so neither the model nor a text's neighbours are gathered anywhere.
+
+Runs are counted in blocks: a task counts the runs of a chunk of texts and cuts them by hash into buckets, whose number follows
+the training tokens; a bucket's blocks are merged as they come. A run can only repeat if the run without its first word does.
+Bit tables of the keys (eight bits a key, 2^29 at most) let tasks skip runs that can't count or aren't in the model; a wrong
+bit only costs a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +40,12 @@ LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 DISCOUNT = 0.75
 # A context, and a word as a follower, must have been seen this often in training.
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
+DEPTH = 4
 CHUNK_TOKENS = 1 << 20
+# Rows of the model that every task gets; the others are joined.
+HEAD = 1 << 20
 END = np.uint64(0x1B873593CC9E2D51)
+SUMS = ["base", "score", "known"]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_TOKENS):
@@ -107,66 +117,162 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(rows, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("c"))
 
 
-def _gram_counts(texts: DataFrame, size: int, contexts, words) -> DataFrame:
-    """Counts of at least two of runs of ``size`` tokens, their contexts and words being in the bit tables."""
-
-    def rows(batches):
-        for _, _, tokens, row in _tokens(batches):
-            _, context, suffix, word, key = _grams(tokens, row, size)
-            keep = _bit(contexts.value, context) & _bit(words.value, word)
-            keys, first, n = np.unique(key[keep], return_index=True, return_counts=True)
-            columns = [keys, context[keep][first], word[keep][first], *([suffix[keep][first]] if size > 2 else [])]
-            yield pa.RecordBatch.from_arrays([*[pa.array(tx.signed(c)) for c in columns], pa.array(n)], names=[*names, "n"])
+def _merged(held: list[np.ndarray]) -> np.ndarray:
+    """Equal runs of blocks made one; the columns are context, word, suffix and count."""
+    rows = np.concatenate(held, axis=1)
+    _, first, at = np.unique(_join(rows[0], rows[1]), return_index=True, return_inverse=True)
+    out = rows[:, first]
+    out[3] = np.bincount(at, rows[3].astype(np.float64)).astype(np.uint64)
+    return out
 
-    # A pair's suffix is its word.
-    names = ["key", "context", "word", *(["suffix"] if size > 2 else [])]
-    found = texts.mapInArrow(rows, ", ".join(f"{c} bigint" for c in [*names, "n"]))
-    counts = found.groupBy(*names).agg(F.sum("n").alias("c")).where("c >= 2")
-    return counts if size > 2 else counts.withColumn("suffix", F.col("word"))
 
+def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suffixes) -> DataFrame:
+    """Counts of at least two of runs of ``size`` tokens, their contexts, words and suffixes being in the bit tables.
 
-def _level(grams: DataFrame, contexts: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Kept nodes ``(key, spare)`` and their followers ``(key, gain, p, ...)`` of one depth.
+    ``tokens`` is the number of training tokens. A pair's suffix is its word, and ``suffixes`` None."""
+    buckets = max(1, -(-tokens // CHUNK_TOKENS))
 
-    ``grams(key, context, suffix, word, c)``; ``contexts(key, total)``; ``below(key, p)`` predicts a follower by the parent,
-    by its key ``suffix``. ``spare`` is log10 g(s), ``gain`` log10 p(w | s) - log10 (g(s) p(w | parent)).
+    def blocks(batches):
+        for _, _, found, row in _tokens(batches):
+            _, context, suffix, word, key = _grams(found, row, size)
+            keep = _bit(contexts.value, context) & _bit(words.value, word)
+            if suffixes is not None:
+                keep &= _bit(suffixes.value, suffix)
+            keys, first, n = np.unique(key[keep], return_index=True, return_counts=True)
+            columns = [context[keep][first], word[keep][first], *([suffix[keep][first]] if suffixes is not None else [])]
+            bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(keys)] if len(keys) else np.zeros(1, np.int64)
+            packed = [b"".join(c[i:j].tobytes() for c in (*columns, n.astype("<u4"))) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            for at in range(0, len(packed), 4096):
+                part = pa.array(bucket[cuts[:-1]][at : at + 4096].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([part, pa.array(packed[at : at + 4096], pa.binary())], names=["bucket", "runs"])
+
+    wide = 2 if suffixes is None else 3
+
+    def merge(batches):
+        held, n = [], 0
+        for batch in batches:
+            for runs in batch.column(1).to_pylist():
+                m = len(runs) // (8 * wide + 4)
+                rows = np.empty((4, m), np.uint64)
+                rows[:wide] = np.frombuffer(runs, np.uint64, m * wide).reshape(wide, m)
+                rows[3] = np.frombuffer(runs, "<u4", m, 8 * wide * m)
+                if wide == 2:
+                    rows[2] = rows[1]
+                held.append(rows)
+                n += m
+                if n > 2 * CHUNK_TOKENS and len(held) > 1:
+                    held = [_merged(held)]
+                    n = held[0].shape[1] // 2
+        if held:
+            rows = _merged(held)
+            rows = rows[:, rows[3] >= 2]
+            for at in range(0, rows.shape[1], 50_000):
+                part = np.ascontiguousarray(rows[:, at : at + 50_000])
+                columns = [_join(part[0], part[1]), *part]
+                yield pa.RecordBatch.from_arrays([pa.array(tx.signed(c)) for c in columns], names=["key", "context", "word", "suffix", "c"])
+
+    # Spark deals a bucket's blocks to the task of its number.
+    dealt = texts.mapInArrow(blocks, "bucket int, runs binary").repartitionById(buckets, F.col("bucket"))
+    return dealt.mapInArrow(merge, "key bigint, context bigint, word bigint, suffix bigint, c bigint")
+
+
+def _level(scratch: Scratch, grams: DataFrame, contexts: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kept nodes ``(key, spare, c)`` and the runs' ``(key, c, p, gain)`` of one depth, as written tables.
+
+    ``grams(key, context, suffix, c)``; ``contexts(key, total)``; ``below(key, p)`` predicts a follower by the parent,
+    by its key ``suffix``. ``spare`` is log10 g(s), ``gain`` log10 p(w | s) - log10 (g(s) p(w | parent)); a run
+    whose context isn't kept has the parent's ``p`` and no gain.
     """
     placed = grams.join(contexts.select(F.col("key").alias("context"), "total"), "context").join(
         below.select(F.col("key").alias("suffix"), "p"), "suffix"
     )
-    placed = placed.withColumn("share", (F.col("c") - DISCOUNT) / F.col("total"))
+    placed = scratch.store(placed.select("key", "context", "c", "total", "p"), "placed")
+    share = (F.col("c") - DISCOUNT) / F.col("total")
     nodes = placed.groupBy("context").agg(
-        F.sum("share").alias("taken"), F.count("*").alias("k"), F.first("total").alias("total"),
-        F.sum(F.col("c") * F.log(F.col("c") / F.col("total") / F.col("p"))).alias("gain"),
-    ).where("gain > 0.5D * k * ln(total)").select("context", (1 - F.col("taken")).alias("g"))
-    kept = placed.join(nodes, "context").withColumn("p_here", F.col("share") + F.col("g") * F.col("p"))
-    followers = kept.select(
-        "key", "suffix", "word", "c", F.col("p_here").alias("p"), (F.log10("p_here") - F.log10(F.col("g") * F.col("p"))).alias("gain")
+        F.sum(share).alias("taken"), F.count("*").alias("k"), F.first("total").alias("c"),
+        F.sum(F.col("c") * F.log(F.col("c") / F.col("total") / F.col("p"))).alias("won"),
+    ).where("won > 0.5D * k * ln(c)").select(F.col("context").alias("key"), F.log10(1 - F.col("taken")).alias("spare"), "c")
+    nodes = scratch.store(nodes, "nodes")
+    left = F.pow(F.lit(10.0), F.col("spare")) * F.col("p")
+    followers = placed.join(nodes.select(F.col("key").alias("context"), "spare"), "context", "left").select(
+        "key", "c", F.coalesce(share + left, "p").alias("p"), (F.log10(share + left) - F.log10(left)).alias("gain")
     )
-    return nodes.select(F.col("context").alias("key"), F.log10("g").alias("spare")), followers
-
-
-def _occurrences(rows: DataFrame, id_type: str, pairs, triples) -> DataFrame:
-    """Rows of two kinds: a text's ``(uid, id, held_out, n)`` under a key of its own, and ``(key, word, uid, places)`` of a
-    key in a chunk of texts from ``uid`` on; ``places`` has a 32-bit number for each, its place times 256 plus the count."""
-    names = ["uid", "id", "held_out", "n", "key", "word", "places"]
+    followers = scratch.store(followers, "followers")
+    scratch.drop(placed)
+    return nodes, followers
+
+
+class _Head:
+    """Numbers of the most frequent words and runs, by sorted key."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.keys, self.base, self.value = {}, {}, {}
+        is_word = rows.column("word").to_numpy().astype(bool)
+        for word in (True, False):
+            keys, base, value = (rows.column(c).to_numpy()[is_word == word] for c in ("key", "base", "value"))
+            order = np.argsort(keys.view(np.uint64))
+            self.keys[word], self.base[word], self.value[word] = keys.view(np.uint64)[order], base[order], value[order]
+
+    def find(self, word: bool, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``keys`` are here, and the places of those."""
+        known = self.keys[word]
+        at = np.searchsorted(known, keys)
+        here = at < len(known)
+        here[here] = known[at[here]] == keys[here]
+        return here, at[here]
+
+
+def _head(model: DataFrame) -> tuple[pa.Table, DataFrame]:
+    """At most ``HEAD`` rows of the model with the highest counts, and the others.
+
+    Counts fall in classes of a ninth more each; the head is the highest classes that fit."""
+    heat = F.floor(8 * F.log2("c")).cast("int")
+    left, least = HEAD, 8 * 64
+    for row in sorted(model.groupBy(heat.alias("heat")).count().collect(), key=lambda r: -r["heat"]):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["heat"]
+    return model.where(heat >= least).select("key", "word", "base", "value").toArrow(), model.where(heat < least)
+
+
+def _occurrences(rows: DataFrame, id_type: str, longest: int, head, tail) -> DataFrame:
+    """Rows of two kinds: a text's ``(uid, id, held_out, n)`` under a key of its own, with its sums over what the head holds,
+    and ``(key, word, uid, places)`` of another key in a chunk of texts from ``uid`` on; ``places`` has a 32-bit number for
+    each, its place times 256 plus the count."""
+    names = ["uid", "id", "held_out", "n", *(f"head_{c}" for c in SUMS), "key", "word", "places"]
 
     def out(batches):
         base = TaskContext.get().partitionId() << 33
         for first, owners, tokens, row in _tokens(batches):
             sizes = np.bincount(row)
-            uid = base + first + np.arange(len(sizes))
-            own = [pa.array(tx.signed(tx.mix(uid.astype(np.uint64)))), pa.array(np.zeros(len(sizes), bool)), pa.nulls(len(sizes), pa.binary())]
+            m = len(sizes)
+            sums = dict.fromkeys(SUMS, 0.0)
+            found = []
+            for size in range(1, longest + 1):
+                word = size == 1
+                at, key = (row, tokens) if word else _grams(tokens, row, size)[:: 4]
+                order = np.argsort(key, kind="stable")
+                at, key = at[order], key[order]
+                here, place = head.value.find(word, key)
+                value = head.value.value[word][place]
+                sums["score"] = sums["score"] + np.bincount(at[here], value, m)
+                if word:
+                    value = head.value.base[word][place]
+                    sums["score"] = sums["score"] + np.bincount(at[here], value, m)
+                    sums["base"] = np.bincount(at[here], value, m)
+                    sums["known"] = np.bincount(at[here], minlength=m).astype(float)
+                else:
+                    here |= ~_bit(tail.value, key)
+                found.append((at[~here], key[~here], word))
+            uid = base + first + np.arange(m)
+            own = [pa.array(tx.signed(tx.mix(uid.astype(np.uint64)))), pa.array(np.zeros(m, bool)), pa.nulls(m, pa.binary())]
             ids, held = (pa.chunked_array([b.column(k) for b in owners]).combine_chunks() for k in (1, 2))
-            yield pa.RecordBatch.from_arrays([pa.array(uid), ids, held, pa.array(sizes), *own], names=names)
-            found = [(row, tokens, True)]
-            for size, bits in ((2, pairs), (3, triples)):
-                at, _, _, _, key = _grams(tokens, row, size)
-                keep = _bit(bits.value, key)
-                found.append((at[keep], key[keep], False))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(uid), ids, held, pa.array(sizes), *(pa.array(sums[c]) for c in SUMS), *own], names=names
+            )
             for at, key, word in found:
-                order = np.lexsort((at, key))
-                at, key = at[order], key[order]
                 new = np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])] if len(key) else np.zeros(0, bool)
                 start = np.flatnonzero(new)
                 n = np.diff(np.r_[start, len(key)])
@@ -183,27 +289,28 @@ def _occurrences(rows: DataFrame, id_type: str, pairs, triples) -> DataFrame:
                 offsets = pa.array(np.r_[heads, len(keys)] * 4, pa.int32())
                 places = pa.Array.from_buffers(pa.binary(), len(heads), [None, offsets.buffers()[1], pa.py_buffer(packed)])
                 for a in range(0, len(heads), 50_000):
-                    m = len(heads[a : a + 50_000])
+                    k = len(heads[a : a + 50_000])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(m, base + first)), pa.nulls(m, ids.type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()),
-                            pa.array(tx.signed(keys[heads[a : a + m]])), pa.array(np.full(m, word)), places.slice(a, m),
+                            pa.array(np.full(k, base + first)), pa.nulls(k, ids.type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
+                            *[pa.nulls(k, pa.float64())] * 3,
+                            pa.array(tx.signed(keys[heads[a : a + k]])), pa.array(np.full(k, word)), places.slice(a, k),
                         ],
                         names=names,
                     )
 
-    return rows.mapInArrow(out, f"uid bigint, id {id_type}, held_out boolean, n bigint, key bigint, word boolean, places binary")
+    own = f"uid bigint, id {id_type}, held_out boolean, n bigint, " + ", ".join(f"head_{c} double" for c in SUMS)
+    return rows.mapInArrow(out, f"{own}, key bigint, word boolean, places binary")
 
 
 def _sums(joined: DataFrame, id_type: str, unseen: float) -> DataFrame:
-    """Per text, the sums of base, score and known tokens of a batch of keys; a text's own row keeps its id."""
-    sums = ["base", "score", "known"]
+    """Per text, the sums of base, score and known tokens of a batch of keys; a text's own row keeps its id and first sums."""
 
     def rows(batches):
         for batch in batches:
             texts_own = batch.filter(pc.is_null(batch.column("places")))
-            zeros = [pa.array(np.zeros(texts_own.num_rows))] * 3
-            yield pa.RecordBatch.from_arrays([*(texts_own.column(c) for c in own), *zeros], names=[*own, *sums])
+            first = [texts_own.column(c) for c in [*own, *(f"head_{c}" for c in SUMS)]]
+            yield pa.RecordBatch.from_arrays(first, names=[*own, *SUMS])
             batch = batch.filter(pc.is_valid(batch.column("places")))
             places = batch.column("places").to_pylist()
             sizes = np.array([len(p) // 4 for p in places], np.int64)
@@ -220,19 +327,20 @@ def _sums(joined: DataFrame, id_type: str, unseen: float) -> DataFrame:
             nothing = [pa.nulls(len(texts), f.type) for f in (batch.schema.field(c) for c in own[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts), *nothing, *[pa.array(np.bincount(at, np.repeat(v, sizes) * count, len(texts))) for v in parts]],
-                names=[*own, *sums],
+                names=[*own, *SUMS],
             )
 
     own = ["uid", "id", "held_out", "n"]
     schema = f"uid bigint, id {id_type}, held_out boolean, n bigint, base double, score double, known double"
-    found = joined.select(*own, "places", "word", "base", "value").mapInArrow(rows, schema)
+    found = joined.select(*own, *(f"head_{c}" for c in SUMS), "places", "word", "base", "value").mapInArrow(rows, schema)
     # Only a text's own row has its mark and number of tokens.
     mark = F.max(F.when(F.col("n").isNotNull(), F.struct("n", "held_out"))).alias("mark")
-    return found.groupBy("uid").agg(F.first("id", ignorenulls=True).alias("id"), mark, *[F.sum(c).alias(c) for c in sums])
+    return found.groupBy("uid").agg(F.first("id", ignorenulls=True).alias("id"), mark, *[F.sum(c).alias(c) for c in SUMS])
 
 
 def suffix_scores(
-    spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text"
+    spark: SparkSession, docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+    depth: int = DEPTH,
 ) -> DataFrame:
     """``(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row of ``docs``.
 
@@ -253,41 +361,38 @@ def suffix_scores(
     end = int(tx.signed(np.array([END]))[0])
 
     contexts = words.where((F.col("c") >= CONTEXT_COUNT) & (F.col("key") != end)).select("key", F.col("c").alias("total"))
-    pairs = scratch.store(_gram_counts(train, 2, _bits(spark, contexts), often), "pairs")
-    nodes1, followers1 = _level(pairs, contexts, p0)
-    nodes1, followers1 = scratch.store(nodes1, "nodes"), scratch.store(followers1, "followers")
-
-    # A pair is a context if it ends in a kept one; its followers need the parent's prediction, seen or not.
-    longer = (
-        pairs.where((F.col("c") >= CONTEXT_COUNT) & (F.col("word") != end))
-        .join(nodes1.select(F.col("key").alias("word")), "word", "left_semi").select("key", F.col("c").alias("total"))
-    )
-    longer = scratch.store(longer, "longer")
-    triples = scratch.store(_gram_counts(train, 3, _bits(spark, longer), often), "triples")
-    suffixes = triples.select(F.col("suffix").alias("key"), "word").distinct()
-    parents = (
-        suffixes.join(pairs.select("key", "context"), "key", "left")
-        .join(followers1.select("key", F.col("p").alias("seen")), "key", "left")
-        .join(nodes1.select(F.col("key").alias("context"), "spare"), "context", "left")
-        .join(p0.select(F.col("key").alias("word"), F.col("p").alias("alone")), "word", "left")
-        # A suffix that was seen twice as a triple's end was counted as a pair.
-        .select("key", F.coalesce("seen", F.pow(F.lit(10.0), F.coalesce("spare", F.lit(0.0))) * F.col("alone")).alias("p"))
-    )
-    nodes2, followers2 = _level(triples, longer, parents)
-    nodes2, followers2 = scratch.store(nodes2, "nodes"), scratch.store(followers2, "followers")
-
-    values = followers1.select("key", F.col("gain").alias("value")).union(nodes2.select("key", "spare"))
-    values = values.groupBy("key").agg(F.sum("value").alias("value"))
-    values3 = followers2.select("key", F.col("gain").alias("value"))
-    unigram = (
-        p0.join(nodes1, "key", "left")
-        .select("key", F.lit(True).alias("word"), F.log10("p").alias("base"), F.coalesce("spare", F.lit(0.0)).alias("value"))
-    )
-    longer_values = values.union(values3).select("key", F.lit(False).alias("word"), F.lit(None).cast("double").alias("base"), "value")
-    model = unigram.union(longer_values)
-
-    seen = _occurrences(rows, id_type, _bits(spark, values), _bits(spark, values3))
-    joined = seen.join(model.hint("merge"), ["key", "word"], "left")
+    below, suffixes, levels = p0.select("key", "p"), None, []
+    while len(levels) < depth:
+        grams = _gram_counts(train, len(levels) + 2, n, _bits(spark, contexts), often, suffixes)
+        grams = scratch.store(grams, "runs")
+        nodes, followers = _level(scratch, grams, contexts, below)
+        levels.append((nodes, followers))
+        # A run is a context if its parent is a kept one.
+        contexts = scratch.store(
+            grams.where((F.col("c") >= CONTEXT_COUNT) & (F.col("word") != end))
+            .join(nodes.select(F.col("key").alias("suffix")), "suffix", "left_semi").select("key", F.col("c").alias("total")),
+            "contexts",
+        )
+        scratch.drop(grams)
+        if contexts.isEmpty():
+            break
+        below, suffixes = followers.select("key", "p"), _bits(spark, followers)
+
+    unigram = p0.join(levels[0][0].select("key", "spare"), "key", "left") if levels else p0.withColumn("spare", F.lit(0.0))
+    unigram = unigram.select("key", F.lit(True).alias("word"), F.log10("p").alias("base"), F.coalesce("spare", F.lit(0.0)).alias("value"), "c")
+    # A run may be a follower, a context, or both.
+    runs = [f.where("gain IS NOT NULL").select("key", F.col("gain").alias("value"), "c") for _, f in levels]
+    runs += [nodes.select("key", F.col("spare").alias("value"), "c") for nodes, _ in levels[1:]]
+    model = unigram
+    if runs:
+        longer = reduce(DataFrame.union, runs).groupBy("key").agg(F.sum("value").alias("value"), F.max("c").alias("c"))
+        model = unigram.union(longer.select("key", F.lit(False), F.lit(None).cast("double"), "value", "c"))
+    model = scratch.store(model, "model")
+    scratch.drop(words, *(frame for level in levels for frame in level))
+
+    head, rest = _head(model)
+    seen = _occurrences(rows, id_type, len(levels) + 1, spark.sparkContext.broadcast(_Head(head)), _bits(spark, rest.where("NOT word")))
+    joined = seen.join(rest.select("key", "word", "base", "value").hint("merge"), ["key", "word"], "left")
     sums = _sums(joined, id_type, -float(np.log10(n + v + 1)))
     return sums.select(
         F.col("id").alias(id_col), "mark.held_out", F.col("mark.n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
