@@ -10,11 +10,11 @@ discounting with its parent:
 
 Followers seen once, and rare words, are left to the parent, so g(s) is what remains. A text's log probability under its
 longest kept suffixes is then a sum over its words and word runs of one number each. Tasks know the numbers of the
-most frequent runs (a broadcast table of at most ``HEAD`` rows) and add them up in place; all others are joined by
-hash, so neither the model nor a text's neighbours are gathered anywhere.
+most frequent runs (a broadcast table of at most ``HEAD`` rows) and add them up in place; all others meet in
+buckets of their hashes, so neither the model nor a text's neighbours are gathered anywhere.
 
-Runs are counted in blocks: a task counts the runs of a chunk of texts and cuts them by hash into buckets, whose number follows
-the training tokens; a bucket's blocks are merged as they come. A run can only repeat if the run without its first word does.
+Runs are counted, and looked up, in blocks: a task takes the runs of a chunk of texts and cuts them by hash into buckets, whose
+number follows the size of the texts. A run can only repeat if the run without its first word does.
 Bit tables of the keys (eight bits a key, 2^29 at most) let tasks skip runs that can't count or aren't in the model; a wrong
 bit only costs a row.
 """
@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwatch.llm import text as tx
 from shelfwatch.llm.counters import mark_cells
@@ -42,10 +43,13 @@ DISCOUNT = 0.75
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
 DEPTH = 4
 CHUNK_TOKENS = 1 << 20
-# Rows of the model that every task gets; the others are joined.
+# Rows of the model that every task gets; the others are looked up in buckets.
 HEAD = 1 << 20
+# Bytes of text for each bucket of looked up runs.
+BUCKET_BYTES = 1 << 22
 END = np.uint64(0x1B873593CC9E2D51)
 SUMS = ["base", "score", "known"]
+OWN = ["chunk", "place", "id", "held_out", "n"]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_TOKENS):
@@ -117,6 +121,29 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(rows, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("c"))
 
 
+def _dealt(keys: np.ndarray, buckets: int, *columns: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Buckets of the sorted ``keys``, and the columns of each bucket as one block, bytes of a rank together: of sorted keys
+    the first ones, and of small numbers the last ones, then compress."""
+    if not len(keys):
+        return np.zeros(0, np.int32), []
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    ends = np.r_[start[1:], len(keys)]
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(keys), -1) for c in columns]
+    return bucket[start].astype(np.int32), [b"".join(p[i:j].T.tobytes() for p in planes) for i, j in zip(start, ends, strict=True)]
+
+
+def _unpacked(block: bytes, *types: str) -> list[np.ndarray]:
+    """The columns of a block."""
+    sizes = [np.dtype(t).itemsize for t in types]
+    m, out, at = len(block) // sum(sizes), [], 0
+    for kind, size in zip(types, sizes, strict=True):
+        planes = np.frombuffer(block, np.uint8, m * size, at).reshape(size, m)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += m * size
+    return out
+
+
 def _merged(held: list[np.ndarray]) -> np.ndarray:
     """Equal runs of blocks made one; the columns are context, word, suffix and count."""
     rows = np.concatenate(held, axis=1)
@@ -140,12 +167,10 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
                 keep &= _bit(suffixes.value, suffix)
             keys, first, n = np.unique(key[keep], return_index=True, return_counts=True)
             columns = [context[keep][first], word[keep][first], *([suffix[keep][first]] if suffixes is not None else [])]
-            bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(keys)] if len(keys) else np.zeros(1, np.int64)
-            packed = [b"".join(c[i:j].tobytes() for c in (*columns, n.astype("<u4"))) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            bucket, packed = _dealt(keys, buckets, *columns, n.astype("<u4"))
             for at in range(0, len(packed), 4096):
-                part = pa.array(bucket[cuts[:-1]][at : at + 4096].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part, pa.array(packed[at : at + 4096], pa.binary())], names=["bucket", "runs"])
+                part = [pa.array(bucket[at : at + 4096]), pa.array(packed[at : at + 4096], pa.binary())]
+                yield pa.RecordBatch.from_arrays(part, names=["bucket", "runs"])
 
     wide = 2 if suffixes is None else 3
 
@@ -153,14 +178,10 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
         held, n = [], 0
         for batch in batches:
             for runs in batch.column(1).to_pylist():
-                m = len(runs) // (8 * wide + 4)
-                rows = np.empty((4, m), np.uint64)
-                rows[:wide] = np.frombuffer(runs, np.uint64, m * wide).reshape(wide, m)
-                rows[3] = np.frombuffer(runs, "<u4", m, 8 * wide * m)
-                if wide == 2:
-                    rows[2] = rows[1]
-                held.append(rows)
-                n += m
+                columns = _unpacked(runs, *["<u8"] * wide, "<u4")
+                # A pair's suffix is its word.
+                held.append(np.stack([*columns[:2], columns[wide - 1], columns[-1].astype(np.uint64)]))
+                n += len(columns[0])
                 if n > 2 * CHUNK_TOKENS and len(held) > 1:
                     held = [_merged(held)]
                     n = held[0].shape[1] // 2
@@ -203,28 +224,23 @@ def _level(scratch: Scratch, grams: DataFrame, contexts: DataFrame, below: DataF
     return nodes, followers
 
 
-class _Head:
-    """Numbers of the most frequent words and runs, by sorted key."""
+class _Numbers:
+    """Base and value of words or runs, by sorted key."""
 
-    def __init__(self, rows: pa.Table) -> None:
-        self.keys, self.base, self.value = {}, {}, {}
-        is_word = rows.column("word").to_numpy().astype(bool)
-        for word in (True, False):
-            keys, base, value = (rows.column(c).to_numpy()[is_word == word] for c in ("key", "base", "value"))
-            order = np.argsort(keys.view(np.uint64))
-            self.keys[word], self.base[word], self.value[word] = keys.view(np.uint64)[order], base[order], value[order]
+    def __init__(self, keys: np.ndarray, base: np.ndarray, value: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.base, self.value = keys[order], base[order], value[order]
 
-    def find(self, word: bool, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``keys`` are here, and the places of those."""
-        known = self.keys[word]
-        at = np.searchsorted(known, keys)
-        here = at < len(known)
-        here[here] = known[at[here]] == keys[here]
+        at = np.searchsorted(self.keys, keys)
+        here = at < len(self.keys)
+        here[here] = self.keys[at[here]] == keys[here]
         return here, at[here]
 
 
-def _head(model: DataFrame) -> tuple[pa.Table, DataFrame]:
-    """At most ``HEAD`` rows of the model with the highest counts, and the others.
+def _head(model: DataFrame) -> tuple[dict[bool, _Numbers], DataFrame]:
+    """At most ``HEAD`` rows of the model with the highest counts, words and runs apart, and the others.
 
     Counts fall in classes of a ninth more each; the head is the highest classes that fit."""
     heat = F.floor(8 * F.log2("c")).cast("int")
@@ -234,108 +250,173 @@ def _head(model: DataFrame) -> tuple[pa.Table, DataFrame]:
         if left < 0:
             break
         least = row["heat"]
-    return model.where(heat >= least).select("key", "word", "base", "value").toArrow(), model.where(heat < least)
+    rows = model.where(heat >= least).select("key", "word", "base", "value").toArrow()
+    is_word = rows.column("word").to_numpy().astype(bool)
+    key, base, value = (rows.column(c).to_numpy() for c in ("key", "base", "value"))
+    head = {w: _Numbers(key[is_word == w].view(np.uint64), base[is_word == w], value[is_word == w]) for w in (True, False)}
+    return head, model.where(heat < least)
 
 
-def _occurrences(rows: DataFrame, id_type: str, longest: int, head, tail) -> DataFrame:
-    """Rows of two kinds: a text's ``(uid, id, held_out, n)`` under a key of its own, with its sums over what the head holds,
-    and ``(key, word, uid, places)`` of another key in a chunk of texts from ``uid`` on; ``places`` has a 32-bit number for
-    each, its place times 256 plus the count."""
-    names = ["uid", "id", "held_out", "n", *(f"head_{c}" for c in SUMS), "key", "word", "places"]
+def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unseen: float, head, runs, tail) -> DataFrame:
+    """Rows of two kinds: a text's own ``(chunk, place, id, held_out, n)``, with its sums over what the head holds and over
+    unseen words, and blocks of a bucket's other words or runs in a chunk: key, place of the text, and count."""
 
     def out(batches):
         base = TaskContext.get().partitionId() << 33
         for first, owners, tokens, row in _tokens(batches):
             sizes = np.bincount(row)
             m = len(sizes)
-            sums = dict.fromkeys(SUMS, 0.0)
-            found = []
+            found = {True: [], False: []}
             for size in range(1, longest + 1):
                 word = size == 1
-                at, key = (row, tokens) if word else _grams(tokens, row, size)[:: 4]
-                order = np.argsort(key, kind="stable")
+                at, key = (row, tokens) if word else _grams(tokens, row, size)[::4]
+                if not word:
+                    may = _bit(runs.value, key)
+                    at, key = at[may], key[may]
+                order = np.argsort(key)
                 at, key = at[order], key[order]
-                here, place = head.value.find(word, key)
-                value = head.value.value[word][place]
-                sums["score"] = sums["score"] + np.bincount(at[here], value, m)
+                here, place = head.value[word].find(key)
+                value = head.value[word].value[place]
                 if word:
-                    value = head.value.base[word][place]
-                    sums["score"] = sums["score"] + np.bincount(at[here], value, m)
-                    sums["base"] = np.bincount(at[here], value, m)
-                    sums["known"] = np.bincount(at[here], minlength=m).astype(float)
+                    alone = head.value[word].base[place]
+                    sums = [np.bincount(at[here], w, m).astype(float) for w in (alone, value + alone, np.ones(len(place)))]
                 else:
-                    here |= ~_bit(tail.value, key)
-                found.append((at[~here], key[~here], word))
-            uid = base + first + np.arange(m)
-            own = [pa.array(tx.signed(tx.mix(uid.astype(np.uint64)))), pa.array(np.zeros(m, bool)), pa.nulls(m, pa.binary())]
+                    sums[1] += np.bincount(at[here], value, m)
+                rest = ~here & _bit(tail.value, key)
+                if word:
+                    new = np.bincount(at[~here & ~rest], minlength=m) * unseen
+                    sums[0] += new
+                    sums[1] += new
+                found[word].append((key[rest], at[rest]))
+            chunk = base + first
             ids, held = (pa.chunked_array([b.column(k) for b in owners]).combine_chunks() for k in (1, 2))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uid), ids, held, pa.array(sizes), *(pa.array(sums[c]) for c in SUMS), *own], names=names
-            )
-            for at, key, word in found:
-                new = np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])] if len(key) else np.zeros(0, bool)
-                start = np.flatnonzero(new)
+            own = [pa.array(np.full(m, chunk)), pa.array(np.arange(m, dtype=np.int32)), ids, held, pa.array(sizes)]
+            # A chunk's own rows pass through any bucket.
+            bucket = pa.array(np.full(m, int(tx.mix(np.array([chunk], np.uint64))[0] % np.uint64(buckets)), np.int32))
+            nothing = [pa.nulls(m, pa.bool_()), pa.nulls(m, pa.binary())]
+            yield pa.RecordBatch.from_arrays([bucket, *own, *(pa.array(v) for v in sums), *nothing], names=names)
+            for word, parts in found.items():
+                key, at = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (tokens[:0], row[:0])
+                order = np.lexsort((at, key))
+                key, at = key[order], at[order]
+                start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])]) if len(key) else order
                 n = np.diff(np.r_[start, len(key)])
-                # Counts beyond 255 take several numbers.
-                full, rest = n // 255, n % 255
-                copies = full + (rest > 0)
-                local = np.repeat(at[start], copies)
-                count = np.full(len(local), 255)
-                last = np.cumsum(copies) - 1
-                count[last[rest > 0]] = rest[rest > 0]
-                keys = np.repeat(key[start], copies)
-                heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-                packed = ((local << 8) | count).astype("<u4").tobytes()
-                offsets = pa.array(np.r_[heads, len(keys)] * 4, pa.int32())
-                places = pa.Array.from_buffers(pa.binary(), len(heads), [None, offsets.buffers()[1], pa.py_buffer(packed)])
-                for a in range(0, len(heads), 50_000):
-                    k = len(heads[a : a + 50_000])
+                key = key[start]
+                part, blocks = _dealt(key, buckets, key, at[start].astype("<u4"), n.astype("<u4"))
+                for k in range(0, len(blocks), 4096):
+                    j = len(blocks[k : k + 4096])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(k, base + first)), pa.nulls(k, ids.type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
-                            *[pa.nulls(k, pa.float64())] * 3,
-                            pa.array(tx.signed(keys[heads[a : a + k]])), pa.array(np.full(k, word)), places.slice(a, k),
+                            pa.array(part[k : k + j]), pa.array(np.full(j, chunk)), pa.nulls(j, pa.int32()), pa.nulls(j, ids.type),
+                            pa.nulls(j, pa.bool_()), pa.nulls(j, pa.int64()), *[pa.nulls(j, pa.float64())] * 3,
+                            pa.array(np.full(j, word)), pa.array(blocks[k : k + j], pa.binary()),
                         ],
                         names=names,
                     )
 
-    own = f"uid bigint, id {id_type}, held_out boolean, n bigint, " + ", ".join(f"head_{c} double" for c in SUMS)
-    return rows.mapInArrow(out, f"{own}, key bigint, word boolean, places binary")
+    names = ["bucket", *OWN, *SUMS, "word", "block"]
+    return rows.mapInArrow(out, f"bucket int, {_own(id_type)}, word boolean, block binary")
 
 
-def _sums(joined: DataFrame, id_type: str, unseen: float) -> DataFrame:
-    """Per text, the sums of base, score and known tokens of a batch of keys; a text's own row keeps its id and first sums."""
+def _own(id_type: str) -> str:
+    return f"chunk bigint, place int, id {id_type}, held_out boolean, n bigint, " + ", ".join(f"{c} double" for c in SUMS)
 
-    def rows(batches):
+
+def _model_blocks(model: DataFrame, buckets: int) -> DataFrame:
+    """The model's rows as blocks of a bucket: key, base and value."""
+
+    def blocks(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= CHUNK_TOKENS:
+                yield from cut(held)
+                held, n = [], 0
+        if held:
+            yield from cut(held)
+
+    def cut(held):
+        table = pa.Table.from_batches(held)
+        is_word = table.column("word").to_numpy().astype(bool)
+        key, base, value = (table.column(c).to_numpy() for c in ("key", "base", "value"))
+        for word in (True, False):
+            numbers = _Numbers(key[is_word == word].view(np.uint64), base[is_word == word], value[is_word == word])
+            bucket, packed = _dealt(numbers.keys, buckets, numbers.keys, numbers.base.astype("<f8"), numbers.value.astype("<f8"))
+            for k in range(0, len(packed), 4096):
+                part = [pa.array(bucket[k : k + 4096]), pa.array(np.full(len(packed[k : k + 4096]), word)), pa.array(packed[k : k + 4096], pa.binary())]
+                yield pa.RecordBatch.from_arrays(part, names=["bucket", "word", "block"])
+
+    return model.select("key", "word", "base", "value").mapInArrow(blocks, "bucket int, word boolean, block binary")
+
+
+def _sums(seen: DataFrame, model: DataFrame, id_type: str, buckets: int, unseen: float) -> DataFrame:
+    """Texts with their sums over head and buckets: a bucket's runs find their numbers, which are then added up by chunk."""
+    names = [*OWN, *SUMS, "block"]
+
+    def look_up(batches):
+        known, wanted = {True: [], False: []}, {True: [], False: []}
+        for batch in batches:
+            own = batch.filter(pc.is_null(batch.column("block")))
+            if own.num_rows:
+                yield own.select(names)
+            for row in batch.filter(pc.is_valid(batch.column("block"))).select(["word", "chunk", "block"]).to_pylist():
+                if row["chunk"] is None:
+                    known[row["word"]].append(_unpacked(row["block"], "<u8", "<f8", "<f8"))
+                else:
+                    wanted[row["word"]].append((row["chunk"], row["block"]))
+        chunks: dict[int, list] = {}
+        for word in (True, False):
+            if not wanted[word]:
+                continue
+            nothing = [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
+            numbers = _Numbers(*(np.concatenate(c) for c in zip(nothing, *known[word], strict=True)))
+            for chunk, block in wanted[word]:
+                key, at, n = _unpacked(block, "<u8", "<u4", "<u4")
+                here, place = numbers.find(key)
+                value = np.zeros(len(key))
+                value[here] = numbers.value[place]
+                base = np.full(len(key), unseen if word else 0.0)
+                if word:
+                    base[here] = numbers.base[place]
+                chunks.setdefault(chunk, []).append((at, n * base, n * (value + base), n * (here if word else 0.0)))
+        for chunk, parts in chunks.items():
+            at, *sums = (np.concatenate(c) for c in zip(*parts, strict=True))
+            place, owner = np.unique(at, return_inverse=True)
+            added = [np.bincount(owner, v, len(place)).astype("<f8") for v in sums]
+            block = _dealt(np.zeros(len(place), np.uint64), 1, place, *added)[1]
+            columns = [pa.array([chunk]), *(pa.nulls(1, t) for t in kinds), pa.array(block, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        texts = []
         for batch in batches:
-            texts_own = batch.filter(pc.is_null(batch.column("places")))
-            first = [texts_own.column(c) for c in [*own, *(f"head_{c}" for c in SUMS)]]
-            yield pa.RecordBatch.from_arrays(first, names=[*own, *SUMS])
-            batch = batch.filter(pc.is_valid(batch.column("places")))
-            places = batch.column("places").to_pylist()
-            sizes = np.array([len(p) // 4 for p in places], np.int64)
-            packed = np.frombuffer(b"".join(places), "<u4").astype(np.int64)
-            owner = np.repeat(batch.column("uid").to_numpy(), sizes) + (packed >> 8)
-            count = packed & 255
-            is_word = batch.column("word").to_numpy(zero_copy_only=False).astype(bool)
-            base = batch.column("base").to_numpy(zero_copy_only=False).astype(float)
-            value = batch.column("value").to_numpy(zero_copy_only=False).astype(float)
-            known = ~np.isnan(base)
-            base_of = np.where(is_word, np.where(known, np.nan_to_num(base), unseen), 0.0)
-            parts = (base_of, np.nan_to_num(value) + base_of, (known & is_word).astype(float))
-            texts, at = np.unique(owner, return_inverse=True)
-            nothing = [pa.nulls(len(texts), f.type) for f in (batch.schema.field(c) for c in own[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts), *nothing, *[pa.array(np.bincount(at, np.repeat(v, sizes) * count, len(texts))) for v in parts]],
-                names=[*own, *SUMS],
-            )
-
-    own = ["uid", "id", "held_out", "n"]
-    schema = f"uid bigint, id {id_type}, held_out boolean, n bigint, base double, score double, known double"
-    found = joined.select(*own, *(f"head_{c}" for c in SUMS), "places", "word", "base", "value").mapInArrow(rows, schema)
-    # Only a text's own row has its mark and number of tokens.
-    mark = F.max(F.when(F.col("n").isNotNull(), F.struct("n", "held_out"))).alias("mark")
-    return found.groupBy("uid").agg(F.first("id", ignorenulls=True).alias("id"), mark, *[F.sum(c).alias(c) for c in SUMS])
+            texts.append(batch.filter(pc.is_null(batch.column("block"))).drop_columns(["block"]))
+            for row in batch.filter(pc.is_valid(batch.column("block"))).select(["chunk", "block"]).to_pylist():
+                place, *added = _unpacked(row["block"], "<u4", "<f8", "<f8", "<f8")
+                held = sums.setdefault(row["chunk"], np.zeros((3, 0)))
+                if place.max() >= held.shape[1]:
+                    held = sums[row["chunk"]] = np.pad(held, ((0, 0), (0, int(place.max()) + 1 - held.shape[1])))
+                held[:, place] += added
+        for batch in texts:
+            out = [batch.column(c).to_numpy().copy() for c in SUMS]
+            chunk, place = (batch.column(c).to_numpy() for c in ("chunk", "place"))
+            for one in np.unique(chunk):
+                held = sums.get(int(one))
+                if held is not None:
+                    mine = np.flatnonzero(chunk == one)
+                    mine = mine[place[mine] < held.shape[1]]
+                    for k in range(3):
+                        out[k][mine] += held[k][place[mine]]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), *(pa.array(v) for v in out)], names=names[:-1])
+
+    kinds = [pa.int32(), to_arrow_type(seen.schema["id"].dataType), pa.bool_(), pa.int64(), *[pa.float64()] * 3]
+    blocks = _model_blocks(model, buckets)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in seen.schema if f.name not in blocks.columns]
+    both = seen.union(blocks.select("*", *empty).select(*seen.columns))
+    found = both.repartitionById(buckets, F.col("bucket")).mapInArrow(look_up, f"{_own(id_type)}, block binary")
+    return found.repartition(buckets, "chunk").mapInArrow(add, _own(id_type))
 
 
 def suffix_scores(
@@ -391,10 +472,14 @@ def suffix_scores(
     scratch.drop(words, *(frame for level in levels for frame in level))
 
     head, rest = _head(model)
-    seen = _occurrences(rows, id_type, len(levels) + 1, spark.sparkContext.broadcast(_Head(head)), _bits(spark, rest.where("NOT word")))
-    joined = seen.join(rest.select("key", "word", "base", "value").hint("merge"), ["key", "word"], "left")
-    sums = _sums(joined, id_type, -float(np.log10(n + v + 1)))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = int(size // BUCKET_BYTES) + 1
+    unseen = -float(np.log10(n + v + 1))
+    # Runs of the model, and words and runs beyond the head.
+    runs, tail = _bits(spark, model.where("NOT word")), _bits(spark, rest)
+    seen = _occurrences(rows, id_type, len(levels) + 1, buckets, unseen, spark.sparkContext.broadcast(head), runs, tail)
+    sums = _sums(seen, rest, id_type, buckets, unseen)
     return sums.select(
-        F.col("id").alias(id_col), "mark.held_out", F.col("mark.n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
+        F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
