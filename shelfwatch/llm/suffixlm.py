@@ -43,6 +43,8 @@ DISCOUNT = 0.75
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
 DEPTH = 4
 CHUNK_TOKENS = 1 << 20
+# Runs of all lengths are looked up at once, so in smaller chunks.
+LOOK_UP_TOKENS = 1 << 18
 # Rows of the model that every task gets; the others are looked up in buckets.
 HEAD = 1 << 20
 # Bytes of text for each bucket of looked up runs.
@@ -263,7 +265,7 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
 
     def out(batches):
         base = TaskContext.get().partitionId() << 33
-        for first, owners, tokens, row in _tokens(batches):
+        for first, owners, tokens, row in _tokens(batches, LOOK_UP_TOKENS):
             sizes = np.bincount(row)
             m = len(sizes)
             found = {True: [], False: []}
@@ -442,12 +444,13 @@ def suffix_scores(
     end = int(tx.signed(np.array([END]))[0])
 
     contexts = words.where((F.col("c") >= CONTEXT_COUNT) & (F.col("key") != end)).select("key", F.col("c").alias("total"))
-    below, suffixes, levels = p0.select("key", "p"), None, []
+    below, suffixes, levels, used = p0.select("key", "p"), None, [], [words]
     while len(levels) < depth:
         grams = _gram_counts(train, len(levels) + 2, n, _bits(spark, contexts), often, suffixes)
         grams = scratch.store(grams, "runs")
         nodes, followers = _level(scratch, grams, contexts, below)
         levels.append((nodes, followers))
+        used += levels[-1]
         # A run is a context if its parent is a kept one.
         contexts = scratch.store(
             grams.where((F.col("c") >= CONTEXT_COUNT) & (F.col("word") != end))
@@ -455,6 +458,7 @@ def suffix_scores(
             "contexts",
         )
         scratch.drop(grams)
+        used.append(contexts)
         if contexts.isEmpty():
             break
         below, suffixes = followers.select("key", "p"), _bits(spark, followers)
@@ -469,7 +473,7 @@ def suffix_scores(
         longer = reduce(DataFrame.union, runs).groupBy("key").agg(F.sum("value").alias("value"), F.max("c").alias("c"))
         model = unigram.union(longer.select("key", F.lit(False), F.lit(None).cast("double"), "value", "c"))
     model = scratch.store(model, "model")
-    scratch.drop(words, *(frame for level in levels for frame in level))
+    scratch.drop(*used)
 
     head, rest = _head(model)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
