@@ -77,6 +77,7 @@ def test_scores_equal_brute_force(spark, monkeypatch, head, chunk):
     monkeypatch.setattr(suffixlm, "FOLLOWER_COUNT", FOLLOWER)
     monkeypatch.setattr(suffixlm, "HEAD", head)
     monkeypatch.setattr(suffixlm, "CHUNK_TOKENS", chunk)
+    monkeypatch.setattr(suffixlm, "LOOK_UP_TOKENS", chunk)
     monkeypatch.setattr(suffixlm, "BUCKET_BYTES", chunk * 10)
     rows = list(enumerate(texts()))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
