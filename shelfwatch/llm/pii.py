@@ -3,10 +3,11 @@
 Base spans are the matches of four fixed patterns that pass their checks. Wider generators propose more, overlapping
 each other: obfuscated addresses, national phone numbers, dotted card numbers, defanged and IPv6 hosts. Boosted trees judge
 each candidate by its format and its surroundings and become one CASE expression, so that scoring runs
-where the text is read: no shuffle, no Python. The trees learn on a bounded sample. What they are taught as right is base
-spans of the sample, disguised on purpose in their own surroundings; as wrong, what the generators propose in the sample
-beyond the base, and strings of the same shapes that are no personal data. A threshold a kind, set on spans
-the trees didn't see, selects what is added.
+where the text is read: no shuffle, no Python. The trees learn on all texts. What they are taught as right is all base
+spans, disguised on purpose in their own surroundings; as wrong, what the generators propose beyond the base, and strings
+of the same shapes that are no personal data. Candidates of equal features are counted before the trees see them, so what
+they learn on grows with the number of forms and not of texts. A threshold a kind, set on spans the trees didn't
+see, selects what is added.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ _CUE = r"(?i)\b(tel|phone|fon|call|fax|mobil|sms|mail|contact|kontakt|card|visa|
 _OTHER = r"(?i)(?:\b(?:isbn|order|item|part|invoice|ref|no|nr|sku|version|ver|v|id|lot|total|page)|#|\$|€)[\W_]{0,3}$"
 # The most common ends of host names.
 _ENDS = r"(?i)(?:com|org|net|edu|gov|mil|info|biz|io|app|dev|tv|eu|de|fr|nl|pl|ru|uk|ca|au|ch|se|dk|cz|pt|br|jp|cn|test|example)$"
-# Rows and base spans on which the trees learn, and the share of right ones among added candidates.
-SAMPLE, SPANS, PRECISION = 20_000, 4_000, 0.9
+# The share of right ones among added candidates.
+PRECISION = 0.9
 
 
 def _let(value: Column, body) -> Column:
@@ -304,14 +305,13 @@ def _decoy(kind: str, s: Column, words: Column, by: Column) -> tuple[Column, Col
     return label, F.concat(F.substring(digits, -10, 3), between, F.substring(digits, -7, 3), between, F.substring(digits, -4, 4))
 
 
-def _lessons(found: DataFrame, spans: int) -> DataFrame:
-    """``(text, kind, start, end, label)``: snippets with a disguised base span or a decoy of its shape at a known place."""
+def _lessons(found: DataFrame) -> DataFrame:
+    """``(text, kind, start, end, label)``: snippets with a disguised base span or a decoy of its shape at a known place.
+
+    Every base span gives four of the one and two of the other.
+    """
     words = F.filter(F.split(F.substring("text", 1, 2000), r"[^A-Za-z]+"), lambda w: F.char_length(w).between(2, 20))
-    total = found.agg(F.sum(F.size("base"))).first()[0] or 0
-    share = F.lit(int(min(1.0, spans / max(total, 1)) * (1 << 20)))
-    # Spans are chosen, and take their surroundings with them, before the texts are left behind.
-    chosen = F.filter("base", lambda b: F.pmod(F.xxhash64("mid", b["start"], b["kind"]), F.lit(1 << 20)) < share)
-    every = found.select("mid", words.alias("words"), F.explode(chosen).alias("b"))
+    every = found.select("mid", words.alias("words"), F.explode_outer("base").alias("b")).where("b IS NOT NULL")
     ways = []
     for way in range(6):
         by = F.shiftrightunsigned(F.xxhash64("mid", "b.start", F.lit(way)), 1)
@@ -334,51 +334,48 @@ def _lessons(found: DataFrame, spans: int) -> DataFrame:
     )
 
 
-def learn(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, precision: float = PRECISION, spans: int = SPANS) -> Judge:
-    """Trees and thresholds from about ``sample`` rows of ``docs``, chosen by a hash of their place in it.
-
-    About ``spans`` base spans of these rows are disguised four ways each, which gives the right proposals; two decoys of
-    each, and all proposals of the rows that touch no base span, are the wrong ones. The trees learn on four fifths; on the
-    rest, a kind's threshold is the least score from which at least ``precision`` of the proposals are right. A kind
-    that never gets there, or of which the sample has no base span, adds nothing.
+def _examples(docs: DataFrame, text_col: str) -> DataFrame:
+    """Features, label, whether the trees may not see it, and number ``n`` of all candidates to learn from."""
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # Equal texts stay together, so that what is held out was not learned from a copy.
+    based = _with_base(rows.withColumn("mid", F.xxhash64("text")), "text", context=True)
+    # Outer forms, because the inner ones send a size check, and with it the search, down to the scan a second time.
+    natural = _with_proposals(based, "text").select(F.explode_outer("proposed").alias("c"), F.col("mid").alias("key"))
+    natural = natural.where("c IS NOT NULL").select("c.*", F.lit(0.0).alias("label"), "key")
+    lessons = _lessons(based).withColumn("base", F.array().cast("array<struct<kind:int,start:int,end:int>>"))
+    taught = _with_proposals(lessons, "text").select("kind", "start", "end", "label", "key", F.explode_outer("proposed").alias("c"))
+    taught = taught.where("c.kind = kind AND c.start < end AND start < c.end").select("c.*", "label", "key")
+    held = (F.pmod(F.xxhash64("key"), F.lit(5)) == 0).alias("held")
+    every = natural.unionByName(taught)
+    return every.groupBy("kind", *[f"f_{f}" for f in FEATURES], "label", held).agg(F.count("*").alias("n"))
+
+
+def learn(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Judge:
+    """Trees and thresholds from all rows of ``docs``.
+
+    Every base span is disguised four ways, which gives the right proposals; two decoys of each, and all proposals of the
+    texts that touch no base span, are the wrong ones. The trees learn on four fifths; on the rest, a kind's threshold is the
+    least score from which at least ``precision`` of the proposals are right. A kind that never gets there, or of which
+    no text has a base span, adds nothing.
     """
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("mid"))
-    n = rows.count()
-    if not n:
-        return Judge(None, {})
-    chosen = rows.where(F.pmod(F.xxhash64("mid"), F.lit(1 << 20)) < min(1.0, sample / n) * (1 << 20))
-    based = _with_base(chosen, "text", context=True).cache()
+    examples = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(_examples(docs, text_col)).cache()
     try:
-        proposed = _with_proposals(based, "text")
-        natural = proposed.select(
-            F.explode("proposed").alias("c"), F.col("mid").alias("key")
-        ).select("c.*", F.lit(0.0).alias("label"), "key")
-        # A few thousand snippets: their proposals are made in parallel, apart from the sample's long texts.
-        lessons = _lessons(based, spans).repartition(8).withColumn("base", F.array().cast("array<struct<kind:int,start:int,end:int>>"))
-        taught = _with_proposals(lessons, "text").select("kind", "start", "end", "label", "key", F.explode("proposed").alias("c"))
-        taught = taught.where("c.kind = kind AND c.start < end AND start < c.end").select("c.*", "label", "key")
-        labelled = natural.unionByName(taught).withColumn("held", F.pmod(F.xxhash64("key"), F.lit(5)) == 0)
-        labelled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(labelled).cache()
-        try:
-            return _fitted(labelled, precision)
-        finally:
-            labelled.unpersist()
+        return _fitted(examples, precision)
     finally:
-        based.unpersist()
+        examples.unpersist()
 
 
 def _fitted(labelled: DataFrame, precision: float) -> Judge:
     kinds = labelled.where("NOT held").agg(F.min("label"), F.max("label")).first()
     if kinds[0] is None or kinds[0] == kinds[1]:
         return Judge(None, {})
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=8, maxDepth=4, seed=7, maxBins=32).fit(
-        labelled.where("NOT held").select("features", "label").repartition(4)
-    )
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="n", maxIter=8, maxDepth=4, seed=7, maxBins=32)
+    model = trees.fit(labelled.where("NOT held").select("features", "label", F.col("n").cast("double")))
     margin = " + ".join(f"{w!r}D * ({_case(t.toDebugString)})" for t, w in zip(model.trees, model.treeWeights, strict=True))
     judge = Judge(margin, {})
-    scored = labelled.where("held").select("kind", "label", F.struct(*[f"f_{f}" for f in FEATURES]).alias("c"))
-    scored = scored.selectExpr("kind", "label", f"round({judge.probability}, 3) AS p").groupBy("kind", "p").agg(
-        F.count("*").alias("n"), F.sum("label").alias("right")
+    scored = labelled.where("held").select("kind", "label", "n", F.struct(*[f"f_{f}" for f in FEATURES]).alias("c"))
+    scored = scored.selectExpr("kind", "label", "n", f"round({judge.probability}, 3) AS p").groupBy("kind", "p").agg(
+        F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("right")
     )
     right: dict[int, list[float]] = {}
     for r in sorted(scored.collect(), key=lambda r: -r["p"]):

@@ -59,3 +59,13 @@ def test_span_filter_equals_every_pair(spark):
     for r in found:
         want = [w for w in r.wide if not any(b.start < w.end and w.start < b.end for b in r.base)]
         assert sorted(map(tuple, r.free)) == sorted(map(tuple, want))
+
+
+def test_every_span_of_every_row_is_learned_from(spark):
+    docs = configure(spark).range(6000).selectExpr("id", "concat('write to user', id, '@mail', id % 7, '.org today, or 212-555-0142') AS text")
+    examples = pii._examples(docs, "text")
+    right, wrong = (examples.where(f"kind = {k}").agg({"n": "sum"}).first()[0] for k in (0, 3))
+    # Four disguises of each address; the number of each row is proposed and is none of the base.
+    assert examples.where("kind = 0 AND label = 1").agg({"n": "sum"}).first()[0] == 4 * 6000
+    assert right >= 4 * 6000 and wrong >= 6000
+    assert examples.count() < 2000
