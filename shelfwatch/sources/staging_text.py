@@ -6,6 +6,8 @@ a backslash is written twice, which CSV readers do not undo.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +53,13 @@ def from_lines(lines: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def checked_lines(lines: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Rows of the lines that are rows, and the other lines with a ``reason``: the number of fields, or the first bad one."""
+def checked_lines(
+    lines: DataFrame, spec: TableSpec, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the lines that are rows, and the other lines with a ``reason``: the number of fields, or the first bad one.
+
+    ``keep`` may write the checked lines, so that both are read from there and no line is cut again.
+    """
     fields = spec.staging.fields
     cut = lines.select("value", F.split("value", SEPARATOR, -1).alias("_fields"))
 
@@ -65,9 +72,13 @@ def checked_lines(lines: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFra
         F.when((F.get("_fields", F.lit(i)) != NULL_FIELD) & values[f.name].isNull(), F.lit(f"bad {f.name}")) for i, f in enumerate(fields)
     ]
     count = F.when(F.size("_fields") != len(fields), F.concat(F.size("_fields").cast("string"), F.lit(" fields")))
-    checked = cut.withColumn("reason", F.coalesce(count, *bad))
+    row = F.struct(*[v.alias(n) for n, v in values.items()]).alias("row")
+    checked = cut.select("value", F.coalesce(count, *bad).alias("reason"), row)
+    if keep:
+        # The text of a row is not asked for again.
+        checked = keep(checked.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))))
     return (
-        checked.where("reason IS NULL").select(*[v.alias(n) for n, v in values.items()]),
+        checked.where("reason IS NULL").select("row.*"),
         checked.where("reason IS NOT NULL").select("value", "reason"),
     )
 
