@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _PARTS = 64
+# Cells counted by a table of their own at each turn, and cells of a turn.
+_SMALL = 1 << 20
 _SCHEMA = "part int, counts binary"
 
 
@@ -33,15 +35,24 @@ def count_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBat
 
     def count(batches):
         sums = np.zeros(size, np.int64)
+
+        def tally(held):
+            if size <= _SMALL:
+                sums[:] += np.bincount(np.concatenate(held), minlength=size)
+            else:
+                # No second table of that size.
+                met, times = np.unique(np.concatenate(held), return_counts=True)
+                sums[met] += times
+
         held, n = [], 0
         for found in cells(batches):
             held.append(found)
             n += len(found)
-            if n > 1 << 20:
-                sums += np.bincount(np.concatenate(held), minlength=size)
+            if n > _SMALL:
+                tally(held)
                 held, n = [], 0
         if held:
-            sums += np.bincount(np.concatenate(held), minlength=size)
+            tally(held)
         for k, part in enumerate(np.split(sums, _PARTS)):
             if part.any():
                 yield _packed({k: part})
@@ -89,6 +100,24 @@ def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatc
     return out.ravel()
 
 
+def bit_table(keys: DataFrame, each: int = 8, least: int = 1 << 20, most: int = 1 << 29):
+    """Broadcast bit table of the bigint column ``key``, at least ``each`` bits a key up to ``most`` bits."""
+    keys = keys.select("key")
+    size = min(max(least, 1 << (each * keys.count() + 1).bit_length()), most)
+
+    def cells(batches):
+        for batch in batches:
+            yield batch.column(0).to_numpy(zero_copy_only=False) & (size - 1)
+
+    return keys.sparkSession.sparkContext.broadcast(mark_cells(keys, size, cells))
+
+
+def has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the unsigned ``keys`` may be in a bit table; of others a few."""
+    cell = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 30) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton steps; the first weight is the intercept."""
     x = np.column_stack([np.ones(len(x)), x])

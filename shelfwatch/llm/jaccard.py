@@ -20,17 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import text as tx
 from shelfwatch.llm.components import components
-from shelfwatch.llm.counters import count_cells
+from shelfwatch.llm.counters import bit_table, count_cells, has_bit
 from shelfwatch.llm.storage import Scratch
 
 # Pairs of one vertex that one task checks; the more, the fewer copies of its set travel.
 DEALT = 128
 CELLS = 1 << 22
+# Bits for each wanted id, and of a whole table: more ids only mean more sets that no pair needs.
+KEY_BITS, MOST_BITS = 64, 1 << 27
+# Cells of the marks that bound what two sets share.
+MARKS = 1 << 12
 _KEYS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
 
 
@@ -114,67 +118,112 @@ def _features(docs: DataFrame, id_type: str, words: int, percent: int, common) -
     return docs.mapInArrow(rows, f"id {id_type}, n bigint, vertex bigint, keys array<bigint>, head array<bigint>")
 
 
-def _whole_sets(docs: DataFrame, words: int, common) -> DataFrame:
+def _whole_sets(docs: DataFrame, words: int, common, wanted) -> DataFrame:
+    """``(vertex, items)`` of the rows ``(key, text)`` whose key may be in the bit table ``wanted``."""
+
     def rows(batches):
         sigs, sets, held = [], [], 0
-
-        def flush():
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(sigs, pa.int64()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.cumsum([0] + [len(h) for h in sets]), pa.int32()),
-                        pa.array(tx.signed(np.concatenate(sets)), pa.int64()),
-                    ),
-                ],
-                names=["vertex", "items"],
-            )
-
-        for _, _, s in _sets(batches, words):
-            if len(s):
-                ranks = _ordered(s, common.value)
-                sigs.append(_identity(ranks))
-                sets.append(ranks)
-                held += len(ranks)
+        for ranks in _wanted_sets(batches, words, common, wanted):
+            sigs.append(_identity(ranks))
+            sets.append(ranks)
+            held += len(ranks)
             if held > 1 << 18:
-                yield flush()
+                yield _lists(sigs, sets, "items")
                 sigs, sets, held = [], [], 0
         if sigs:
-            yield flush()
+            yield _lists(sigs, sets, "items")
 
     return docs.mapInArrow(rows, "vertex bigint, items array<bigint>")
 
 
+def _marks(docs: DataFrame, words: int, common, wanted) -> DataFrame:
+    """``(vertex, size, marks)`` of the same rows: how many items, and a bit for each of ``MARKS`` cells that holds one."""
+
+    def rows(batches):
+        sigs, sizes, marks = [], [], []
+        for ranks in _wanted_sets(batches, words, common, wanted):
+            bits = np.zeros(MARKS, bool)
+            bits[(ranks & np.uint64(MARKS - 1)).astype(np.int64)] = True
+            sigs.append(_identity(ranks))
+            sizes.append(len(ranks))
+            marks.append(np.packbits(bits).view(np.uint64))
+            if len(sigs) >= 1 << 12:
+                yield _lists(sigs, marks, "marks").append_column("size", pa.array(sizes, pa.int64()))
+                sigs, sizes, marks = [], [], []
+        if sigs:
+            yield _lists(sigs, marks, "marks").append_column("size", pa.array(sizes, pa.int64()))
+
+    return docs.mapInArrow(rows, "vertex bigint, marks array<bigint>, size bigint")
+
+
+def _wanted_sets(batches, words: int, common, wanted) -> Iterator[np.ndarray]:
+    """The ordered sets, of one item at least, of the rows whose key may be in the bit table ``wanted``."""
+    chosen = (b.filter(pa.array(has_bit(wanted.value, b.column(0).to_numpy().view(np.uint64)))) for b in batches)
+    return (_ordered(s, common.value) for _, _, s in _sets(chosen, words) if len(s))
+
+
+def _lists(sigs: list[int], lists: list[np.ndarray], name: str) -> pa.RecordBatch:
+    bounds = pa.array(np.cumsum([0] + [len(v) for v in lists]), pa.int32())
+    column = pa.ListArray.from_arrays(bounds, pa.array(tx.signed(np.concatenate(lists)), pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), column], names=["vertex", name])
+
+
 def _similar_size(percent: int, a: str, b: str) -> str:
     return f"100 * {a} >= {percent} * {b} AND 100 * {b} >= {percent} * {a}"
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int, percent: int, common) -> DataFrame:
-    """Of ``pairs(a, b)``, those whose whole sets link. Only texts of vertices in pairs are read again."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    texts = docs.join(
-        owners.join(needed, "vertex", "left_semi").select(F.col("id").alias("wanted")).distinct(),
-        F.col("id").eqNullSafe(F.col("wanted")), "left_semi",
-    )
-    sets = _whole_sets(texts.select("id", "text"), words, common).dropDuplicates(["vertex"])
-    shared = F.size(F.array_intersect("a_items", "b_items"))
-    joined = _with_items(_with_items(pairs, sets, "a", "b"), sets, "b", "a")
-    return (
-        joined.withColumn("shared", shared.cast("bigint"))
-        .where(100 * F.col("shared") >= percent * (F.size("a_items") + F.size("b_items") - F.col("shared")))
-        .select("a", "b")
-    )
+def _checked(
+    scratch: Scratch, pairs: DataFrame, docs: DataFrame, owners: DataFrame, words: int, percent: int, common
+) -> DataFrame:
+    """Of ``pairs(a, b)``, those whose whole sets link, as a written table.
+
+    Cells that hold items of one set only bound what both share, which settles most pairs that don't link; the whole sets
+    of the others are compared. Texts don't travel: a bit table of the ids of vertices in pairs says which to read."""
+    texts = docs.select(F.xxhash64("id").alias("key"), "text")
+
+    def read(make, pairs: DataFrame, name: str) -> DataFrame:
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+        ids = scratch.store(owners.join(needed, "vertex", "left_semi").select(F.xxhash64("id").alias("key")).distinct(), "ids")
+        found = make(texts, words, common, bit_table(ids, KEY_BITS, most=MOST_BITS)).dropDuplicates(["vertex"])
+        found = scratch.store(found, name)
+        scratch.drop(ids)
+        return found
+
+    def sides(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        return _with_columns(_with_columns(pairs, table, _hot(pairs, "a"), "a", "b"), table, _hot(pairs, "b"), "b", "a")
+
+    def linked(both: Column, shared: Column) -> Column:
+        return 100 * shared >= percent * (both - shared)
+
+    marks = read(_marks, pairs, "marks")
+    apart = F.aggregate(F.zip_with("a_marks", "b_marks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+    both = F.col("a_size") + F.col("b_size")
+    # Each cell of one set only holds an item that is not shared.
+    open_pairs = sides(pairs, marks).where(linked(both, F.floor((both - apart) / 2))).select("a", "b")
+    open_pairs = scratch.store(open_pairs, "open")
+    scratch.drop(marks)
+
+    sets = read(_whole_sets, open_pairs, "sets")
+    shared = F.size(F.array_intersect("a_items", "b_items")).cast("bigint")
+    links = sides(open_pairs, sets).where(linked(F.size("a_items") + F.size("b_items"), shared)).select("a", "b")
+    links = scratch.store(links, "checked")
+    scratch.drop(sets, open_pairs)
+    return links
+
+
+def _hot(pairs: DataFrame, side: str) -> DataFrame:
+    """Vertices of many pairs on one side, and how many parts of about ``DEALT`` these make."""
+    many = pairs.groupBy(side).agg(F.count("*").alias("met")).where(F.col("met") > DEALT)
+    return many.select(F.col(side).alias("hot"), F.ceil(F.col("met") / DEALT).cast("int").alias("parts"))
 
 
-def _with_items(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
-    """``pairs`` with the whole set of one side. A vertex of many pairs, such as a leader, has them dealt over several
-    tasks, about ``DEALT`` to each, which get a copy of its set each."""
-    many = pairs.groupBy(side).agg(F.count("*").alias("met")).where(F.col("met") > DEALT)
-    many = many.select(F.col(side).alias("hot"), F.ceil(F.col("met") / DEALT).cast("int").alias("parts"))
+def _with_columns(pairs: DataFrame, table: DataFrame, many: DataFrame, side: str, other: str) -> DataFrame:
+    """``pairs`` with the columns of ``table(vertex, ...)`` for one side. A vertex of many pairs, such as a leader, has
+    them dealt over several tasks, which get a copy of its row each."""
     part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"))
     dealt = pairs.join(many, F.col(side) == F.col("hot"), "left").withColumn("part", part).drop("hot", "parts")
-    copies = sets.join(many, F.col("vertex") == F.col("hot"), "left").select(
-        F.col("vertex").alias(side), F.col("items").alias(f"{side}_items"),
+    copies = table.join(many, F.col("vertex") == F.col("hot"), "left").select(
+        F.col("vertex").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in table.columns if c != "vertex"],
         F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"),
     )
     return dealt.join(copies, [side, "part"]).drop("part")
@@ -218,7 +267,7 @@ def jaccard_components(
         .select(F.col("leader.vertex").alias("a"), F.col("vertex").alias("b")).distinct()
     )
     led = scratch.store(led, "led")
-    near = scratch.store(_checked(led, docs, owners, words, percent, common), "near")
+    near = _checked(scratch, led, docs, owners, words, percent, common)
     groups = scratch.store(components(spark, near), "groups").select(
         F.col("node").alias("vertex"), F.col("root").alias("grp")
     )
@@ -261,7 +310,8 @@ def jaccard_components(
         f"{_similar_size(percent, 'a_n', 'b_n')} AND least(a_left, b_left) * {100 + percent} >= {percent} * (a_n + b_n)"
     ).select("a", "b").distinct()
     candidates = scratch.store(candidates, "candidates")
-    rest = _checked(candidates, docs, owners, words, percent, common)
+    scratch.drop(open_blocks, members)
+    rest = _checked(scratch, candidates, docs, owners, words, percent, common)
     roots = components(spark, scratch.store(near.union(rest), "links"))
 
     known = owners.join(roots, owners.vertex == roots.node, "left").select(

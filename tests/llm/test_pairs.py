@@ -193,3 +193,30 @@ def test_traversal_costs_no_more_than_a_few_products(spread):
     assert dict(zip(uids.tolist(), links.tolist(), strict=True)) == {k: n for k, n in enumerate(want.tolist()) if n}
     if spread > 1:
         assert took < 20 * dense + 0.1
+
+
+def test_checked_pairs_send_only_marks_of_sets_that_differ(spark, prose, monkeypatch):
+    """Pairs whose marks already tell that they don't link never get their whole sets read."""
+    from shelfwatch.llm import jaccard
+    from shelfwatch.llm.storage import Scratch
+
+    texts = [prose(60) for _ in range(6)]
+    texts[1] = texts[0] + " more"
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    common = spark.sparkContext.broadcast(jaccard._commonness(docs, 4))
+    rows = jaccard._features(docs, "bigint", 4, 85, common).select("vertex", "id").collect()
+    vertex = {r["id"]: r["vertex"] for r in rows}
+    pairs = spark.createDataFrame([(vertex[a], vertex[b]) for b in range(6) for a in range(b)], "a long, b long")
+    owners = spark.createDataFrame([(v, k) for k, v in vertex.items()], "vertex long, id long")
+    kept = {}
+    store = Scratch.store
+
+    def watched(self, df, name):
+        out = store(self, df, name)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "store", watched)
+    found = jaccard._checked(Scratch(spark, "checked"), pairs, docs, owners, 4, 85, common).collect()
+    assert [(r["a"], r["b"]) for r in found] == [(vertex[0], vertex[1])]
+    assert kept["marks"] == 6 and kept["open"] == 1 and kept["sets"] < 6
