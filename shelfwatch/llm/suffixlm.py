@@ -33,11 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwatch.llm import text as tx
-from shelfwatch.llm.counters import mark_cells
+from shelfwatch.llm.counters import bit_table, has_bit
 from shelfwatch.llm.storage import Scratch
 
-# Bit tables: smallest and largest number of bits.
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 DISCOUNT = 0.75
 # A context, and a word as a follower, must have been seen this often in training.
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
@@ -86,11 +84,6 @@ def _join(*parts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    cell = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
-    return (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
-
-
 def _grams(tokens: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """Rows, context keys, parent-and-word keys, words and keys of the runs of ``size`` tokens within a text."""
     n = len(tokens) - size + 1
@@ -102,16 +95,21 @@ def _grams(tokens: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray,
     return rows[:n][inside], _join(*parts[:-1]), _join(*parts[1:]), parts[-1], _join(*parts)
 
 
-def _bits(spark: SparkSession, keys: DataFrame):
-    """Broadcast bit table of the column ``key``."""
-    keys = keys.select("key")
-    size = min(max(LEAST_BITS, 1 << (8 * keys.count() + 1).bit_length()), MOST_BITS)
-
-    def cells(batches):
-        for batch in batches:
-            yield batch.column(0).to_numpy(zero_copy_only=False) & (size - 1)
+def _countable(tokens: np.ndarray, rows: np.ndarray, size: int, contexts, words, suffixes) -> tuple[np.ndarray, ...]:
+    """Context, parent-and-word keys, words and keys of the runs of ``size`` tokens that the bit tables let count.
 
-    return spark.sparkContext.broadcast(mark_cells(keys, size, cells))
+    A column is only made for the runs that are left, so a chunk never holds all columns of all runs."""
+    n = max(0, len(tokens) - size + 1)
+    at = np.flatnonzero(rows[:n] == rows[size - 1 : size - 1 + n])
+    at = at[has_bit(words.value, tokens[at + size - 1])]
+    context = _join(*(tokens[at + k] for k in range(size - 1)))
+    may = has_bit(contexts.value, context)
+    at, context = at[may], context[may]
+    suffix = _join(*(tokens[at + k] for k in range(1, size)))
+    if suffixes is not None:
+        may = has_bit(suffixes.value, suffix)
+        at, context, suffix = at[may], context[may], suffix[may]
+    return context, suffix, tokens[at + size - 1], _join(*(tokens[at + k] for k in range(size)))
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -159,16 +157,14 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
     """Counts of at least two of runs of ``size`` tokens, their contexts, words and suffixes being in the bit tables.
 
     ``tokens`` is the number of training tokens. A pair's suffix is its word, and ``suffixes`` None."""
-    buckets = max(1, -(-tokens // CHUNK_TOKENS))
+    buckets = max(1, -(-tokens // max(1, CHUNK_TOKENS // 2)))
 
     def blocks(batches):
         for _, _, found, row in _tokens(batches):
-            _, context, suffix, word, key = _grams(found, row, size)
-            keep = _bit(contexts.value, context) & _bit(words.value, word)
-            if suffixes is not None:
-                keep &= _bit(suffixes.value, suffix)
-            keys, first, n = np.unique(key[keep], return_index=True, return_counts=True)
-            columns = [context[keep][first], word[keep][first], *([suffix[keep][first]] if suffixes is not None else [])]
+            context, suffix, word, key = _countable(found, row, size, contexts, words, suffixes)
+            keys, first, n = np.unique(key, return_index=True, return_counts=True)
+            columns = [context[first], word[first], *([suffix[first]] if suffixes is not None else [])]
+            del context, suffix, word, key
             bucket, packed = _dealt(keys, buckets, *columns, n.astype("<u4"))
             for at in range(0, len(packed), 4096):
                 part = [pa.array(bucket[at : at + 4096]), pa.array(packed[at : at + 4096], pa.binary())]
@@ -179,12 +175,12 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
     def merge(batches):
         held, n = [], 0
         for batch in batches:
-            for runs in batch.column(1).to_pylist():
-                columns = _unpacked(runs, *["<u8"] * wide, "<u4")
+            for runs in batch.column(1):
+                columns = _unpacked(runs.as_py(), *["<u8"] * wide, "<u4")
                 # A pair's suffix is its word.
                 held.append(np.stack([*columns[:2], columns[wide - 1], columns[-1].astype(np.uint64)]))
                 n += len(columns[0])
-                if n > 2 * CHUNK_TOKENS and len(held) > 1:
+                if n > CHUNK_TOKENS and len(held) > 1:
                     held = [_merged(held)]
                     n = held[0].shape[1] // 2
         if held:
@@ -273,7 +269,7 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
                 word = size == 1
                 at, key = (row, tokens) if word else _grams(tokens, row, size)[::4]
                 if not word:
-                    may = _bit(runs.value, key)
+                    may = has_bit(runs.value, key)
                     at, key = at[may], key[may]
                 order = np.argsort(key)
                 at, key = at[order], key[order]
@@ -284,7 +280,7 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
                     sums = [np.bincount(at[here], w, m).astype(float) for w in (alone, value + alone, np.ones(len(place)))]
                 else:
                     sums[1] += np.bincount(at[here], value, m)
-                rest = ~here & _bit(tail.value, key)
+                rest = ~here & has_bit(tail.value, key)
                 if word:
                     new = np.bincount(at[~here & ~rest], minlength=m) * unseen
                     sums[0] += new
@@ -440,13 +436,13 @@ def suffix_scores(
     words = scratch.store(_word_counts(train), "words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     p0 = words.select("key", "c", ((F.col("c") + 1) / F.lit(float(n + v + 1))).alias("p"))
-    often = _bits(spark, words.where(F.col("c") >= FOLLOWER_COUNT))
+    often = bit_table(words.where(F.col("c") >= FOLLOWER_COUNT))
     end = int(tx.signed(np.array([END]))[0])
 
     contexts = words.where((F.col("c") >= CONTEXT_COUNT) & (F.col("key") != end)).select("key", F.col("c").alias("total"))
     below, suffixes, levels, used = p0.select("key", "p"), None, [], [words]
     while len(levels) < depth:
-        grams = _gram_counts(train, len(levels) + 2, n, _bits(spark, contexts), often, suffixes)
+        grams = _gram_counts(train, len(levels) + 2, n, bit_table(contexts), often, suffixes)
         grams = scratch.store(grams, "runs")
         nodes, followers = _level(scratch, grams, contexts, below)
         levels.append((nodes, followers))
@@ -461,7 +457,7 @@ def suffix_scores(
         used.append(contexts)
         if contexts.isEmpty():
             break
-        below, suffixes = followers.select("key", "p"), _bits(spark, followers)
+        below, suffixes = followers.select("key", "p"), bit_table(followers)
 
     unigram = p0.join(levels[0][0].select("key", "spare"), "key", "left") if levels else p0.withColumn("spare", F.lit(0.0))
     unigram = unigram.select("key", F.lit(True).alias("word"), F.log10("p").alias("base"), F.coalesce("spare", F.lit(0.0)).alias("value"), "c")
@@ -480,7 +476,7 @@ def suffix_scores(
     buckets = int(size // BUCKET_BYTES) + 1
     unseen = -float(np.log10(n + v + 1))
     # Runs of the model, and words and runs beyond the head.
-    runs, tail = _bits(spark, model.where("NOT word")), _bits(spark, rest)
+    runs, tail = bit_table(model.where("NOT word")), bit_table(rest)
     seen = _occurrences(rows, id_type, len(levels) + 1, buckets, unseen, spark.sparkContext.broadcast(head), runs, tail)
     sums = _sums(seen, rest, id_type, buckets, unseen)
     return sums.select(

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import suffixlm
+from shelfwatch.llm import text as tx
+from shelfwatch.llm.counters import has_bit
 
 END = None
 CONTEXT, FOLLOWER, DEPTH = 6, 2, 4
@@ -98,3 +102,30 @@ def test_empty_table_and_no_training_rows(spark):
     assert suffixlm.suffix_scores(spark, empty, F.lit(False)).collect() == []
     docs = spark.createDataFrame([(1, None, "a"), (None, "b c", "b"), (1, "", None)], "doc_id bigint, text string, score string")
     assert {(r.n_tokens, r.score) for r in suffixlm.suffix_scores(spark, docs, F.lit(True)).collect()} == {(1, 0.0), (3, 0.0)}
+
+
+def test_columns_are_made_for_countable_runs_only():
+    """Few of a chunk's runs may count: the same ones as by all columns, in less memory."""
+    draw = np.random.default_rng(4)
+    tokens = tx.mix(draw.integers(0, 5000, 1 << 18).astype(np.uint64))
+    rows = np.sort(draw.integers(0, 900, len(tokens)))
+
+    class Table:
+        def __init__(self, keys):
+            marks = np.zeros(1 << 20, bool)
+            marks[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            self.value = np.packbits(marks)
+
+    tracemalloc.start()
+    _, context, suffix, word, key = suffixlm._grams(tokens, rows, 4)
+    whole = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    few = Table(context[::20]), Table(word[::9000]), Table(suffix[::2])
+    keep = has_bit(few[0].value, context) & has_bit(few[1].value, word) & has_bit(few[2].value, suffix)
+    tracemalloc.start()
+    found = suffixlm._countable(tokens, rows, 4, *few)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for a, b in zip(found, (context, suffix, word, key), strict=True):
+        assert a.tolist() == b[keep].tolist()
+    assert keep.any() and peak < 0.7 * whole, (peak, whole)
