@@ -20,9 +20,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Columns of any name, those of the score too, come out as they went in.
     """
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    scored = toxicity(spark, rows, table(spark, sf_dir, "labels"), F.coalesce(remainder(5) != 0, F.lit(False)))
-    return scored.where("predicted = 0").select("row.*")
+    # Other names than the score's; every column goes through the scorer once.
+    plain = [c if c in ("doc_id", "text") else f"kept{k}" for k, c in enumerate(docs.columns)]
+    scored = toxicity(spark, docs.toDF(*plain), table(spark, sf_dir, "labels"), F.coalesce(remainder(5) != 0, F.lit(False)))
+    return scored.where("predicted = 0").select(*plain).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

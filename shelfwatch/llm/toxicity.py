@@ -34,7 +34,7 @@ STANDS_FOR = {
 # (dearer than reading it), of skipping a repeated letter; and, of a token left as it is, of a digit and of any other sign.
 SIGN, SKIP, SKIP_SIGN, REPEAT = 1.5, 1.0, 7.0, 0.5
 DIGIT, OTHER = 2.5, 6.0
-_CACHE = 300_000
+_CACHE = 100_000
 _SPACED = re.compile(r"(?<!\w)[^\W_](?:[\W_]{1,3}[^\W_](?!\w)){2,}")
 _EDGES = re.compile(r"^[^\w@$|!+(<€£¡]+|[^\w@$|€£]+$|_+$")
 _THRICE = re.compile(r"(.)\1\1")

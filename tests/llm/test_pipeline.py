@@ -97,3 +97,10 @@ def test_toxic_stage_keeps_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, score double, predicted int, row string")
     kept = corpus_pipeline.drop_toxic(spark, docs, FOLDER)
     assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows)
+
+
+def test_toxic_stage_sends_texts_to_python_once(spark):
+    docs = spark.createDataFrame([(1, "good words here", "x")], "doc_id long, text string, row string")
+    kept = corpus_pipeline.drop_toxic(spark, docs, FOLDER)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert [c.split("#")[0] for c in re.search(r"MapInArrow score\((.*?)\)", plan)[1].split(", ")] == ["doc_id", "text", "kept2"]
