@@ -41,6 +41,8 @@ DISCOUNT = 0.75
 CONTEXT_COUNT, FOLLOWER_COUNT = 50, 5
 DEPTH = 4
 CHUNK_TOKENS = 1 << 20
+# Columns of a chunk's runs are made for so many places at a time, and sorted in so many ranges of their keys.
+PART_TOKENS, RANGES = 1 << 16, 8
 # Runs of all lengths are looked up at once, so in smaller chunks.
 LOOK_UP_TOKENS = 1 << 18
 # Rows of the model that every task gets; the others are looked up in buckets.
@@ -65,15 +67,22 @@ def _tokens(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_TOKENS):
             out = np.full(len(hashes) + to - at, END, np.uint64)
             out[place] = hashes
             held.append(out)
-            rows.append(np.repeat(np.arange(to - at), np.diff(cuts) + 1) + n)
+            rows.append(np.repeat(np.arange(n, n + to - at, dtype=np.int32), np.diff(cuts) + 1))
             owners.append(batch.slice(at, to - at))
             n += to - at
             size += len(out)
             if size > limit:
-                yield first, owners, np.concatenate(held), np.concatenate(rows)
-                first, n, held, rows, owners, size = first + n, 0, [], [], [], 0
+                yield first, owners, _one(held), _one(rows)
+                first, n, owners, size = first + n, 0, [], 0
     if held:
-        yield first, owners, np.concatenate(held), np.concatenate(rows)
+        yield first, owners, _one(held), _one(rows)
+
+
+def _one(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts as one array; the list is emptied, so that a chunk is not held twice."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
 
 
 def _join(*parts: np.ndarray) -> np.ndarray:
@@ -112,6 +121,35 @@ def _countable(tokens: np.ndarray, rows: np.ndarray, size: int, contexts, words,
     return context, suffix, tokens[at + size - 1], _join(*(tokens[at + k] for k in range(size)))
 
 
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each of the sorted ``keys`` begins."""
+    first = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=first[1:])
+    return np.flatnonzero(first)
+
+
+def _distinct(tokens: np.ndarray, rows: np.ndarray, size: int, contexts, words, suffixes) -> Iterator[tuple[np.ndarray, ...]]:
+    """Sorted keys, context, suffix, word and number of a chunk's countable runs, each run once, by ranges of the keys.
+
+    Only tokens, columns of the countable runs and one range's sorted columns are held at a time."""
+    held, m = np.empty((4, max(0, len(tokens) - size + 1)), np.uint64), 0
+    for at in range(0, held.shape[1], PART_TOKENS):
+        part = slice(at, at + PART_TOKENS + size - 1)
+        for column, made in zip(held, _countable(tokens[part], rows[part], size, contexts, words, suffixes), strict=True):
+            column[m : m + len(made)] = made
+        m += len(made)
+    held = held[:, :m]
+    ranges = ((held[3] >> np.uint64(32)) * np.uint64(RANGES) >> np.uint64(32)).astype(np.uint8)
+    for k in range(RANGES):
+        at = np.flatnonzero(ranges == k)
+        at = at[np.argsort(held[3, at])]
+        keys = held[3, at]
+        start = _starts(keys)
+        n = np.diff(np.r_[start, len(keys)])
+        at = at[start]
+        yield keys[start], held[0, at], held[1, at], held[2, at], n
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     def rows(batches):
         for _, _, tokens, _ in _tokens(batches):
@@ -145,11 +183,15 @@ def _unpacked(block: bytes, *types: str) -> list[np.ndarray]:
 
 
 def _merged(held: list[np.ndarray]) -> np.ndarray:
-    """Equal runs of blocks made one; the columns are context, word, suffix and count."""
+    """Equal runs of blocks made one; the columns are context, word, suffix and count. The list is emptied."""
     rows = np.concatenate(held, axis=1)
-    _, first, at = np.unique(_join(rows[0], rows[1]), return_index=True, return_inverse=True)
-    out = rows[:, first]
-    out[3] = np.bincount(at, rows[3].astype(np.float64)).astype(np.uint64)
+    held.clear()
+    key = _join(rows[0], rows[1])
+    order = np.argsort(key)
+    start = _starts(key[order])
+    del key
+    out = rows[:, order[start]]
+    out[3] = np.add.reduceat(rows[3, order], start) if len(start) else 0
     return out
 
 
@@ -161,14 +203,12 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
 
     def blocks(batches):
         for _, _, found, row in _tokens(batches):
-            context, suffix, word, key = _countable(found, row, size, contexts, words, suffixes)
-            keys, first, n = np.unique(key, return_index=True, return_counts=True)
-            columns = [context[first], word[first], *([suffix[first]] if suffixes is not None else [])]
-            del context, suffix, word, key
-            bucket, packed = _dealt(keys, buckets, *columns, n.astype("<u4"))
-            for at in range(0, len(packed), 4096):
-                part = [pa.array(bucket[at : at + 4096]), pa.array(packed[at : at + 4096], pa.binary())]
-                yield pa.RecordBatch.from_arrays(part, names=["bucket", "runs"])
+            for keys, context, suffix, word, n in _distinct(found, row, size, contexts, words, suffixes):
+                columns = [context, word, *([suffix] if suffixes is not None else [])]
+                bucket, packed = _dealt(keys, buckets, *columns, n.astype("<u4"))
+                for at in range(0, len(packed), 4096):
+                    part = [pa.array(bucket[at : at + 4096]), pa.array(packed[at : at + 4096], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(part, names=["bucket", "runs"])
 
     wide = 2 if suffixes is None else 3
 

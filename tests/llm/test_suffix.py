@@ -8,6 +8,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,61 @@ def test_columns_are_made_for_countable_runs_only():
     for a, b in zip(found, (context, suffix, word, key), strict=True):
         assert a.tolist() == b[keep].tolist()
     assert keep.any() and peak < 0.7 * whole, (peak, whole)
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_runs_are_dealt_in_ranges(monkeypatch, size):
+    """A chunk's runs and their numbers go to their buckets without sorted columns of the whole chunk."""
+
+    class Every:
+        value = np.full(1 << 17, 255, np.uint8)
+
+    class Texts:
+        made = None
+
+        def mapInArrow(self, rows, schema):
+            self.made = self.made or rows
+            return self
+
+        def repartitionById(self, *_):
+            return self
+
+    monkeypatch.setattr(suffixlm.F, "col", lambda name: name)
+    draw = random.Random(8)
+    words = [f"w{draw.randrange(1000)}" for _ in range(250_000)]
+    column = pa.RecordBatch.from_arrays([pa.array([" ".join(words[k : k + 500]) for k in range(0, len(words), 500)])], names=["text"])
+    texts, buckets = Texts(), 5
+    suffixlm._gram_counts(texts, size, buckets * suffixlm.CHUNK_TOKENS // 2, Every, Every, None if size == 2 else Every)
+    list(texts.made([column.slice(0, 10)]))
+    tracemalloc.start()
+    # What was yielded is let go, as in a task.
+    rows = 0
+    for batch in texts.made([column]):
+        rows += batch.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows and peak < 110 * len(words), peak / len(words)
+    found = Counter()
+    for batch in texts.made([column]):
+        for bucket, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            context, word, *_, n = suffixlm._unpacked(runs, *["<u8"] * size, "<u4")
+            key = suffixlm._join(context, word)
+            assert 0 <= bucket < buckets
+            found.update(dict(zip(key.tolist(), n.tolist(), strict=True)))
+    want = Counter()
+    for _, _, tokens, row in suffixlm._tokens([column]):
+        _, context, _, word, _ = suffixlm._grams(tokens, row, size)
+        want.update(suffixlm._join(context, word).tolist())
+    assert found == want
+
+
+def test_batches_of_long_texts_are_small(spark):
+    """Rows that wait for Python are bounded in bytes, not in number alone."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    found = [r.n for r in texts.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) > 20_000_000 and max(found) < 5_000_000
