@@ -73,7 +73,8 @@ def count_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBat
 def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatch]], Iterable[np.ndarray]]) -> np.ndarray:
     """Packed bits of the cells below ``size`` that occur in the integer arrays that ``cells`` makes of ``df``.
 
-    Like ``count_cells``, with a bit a cell. ``size`` is a multiple of 512."""
+    Like ``count_cells``, with a bit a cell. ``size`` is a multiple of 512. Small tables are joined in few tasks."""
+    pieces = _PARTS if size > _SMALL << 4 else _PARTS // 8
 
     def mark(batches):
         marks = np.zeros(size // 8, np.uint8)
@@ -82,7 +83,7 @@ def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatc
             at, bit = cell >> 3, (128 >> (cell & 7)).astype(np.uint8)
             start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
             marks[at[start]] |= np.bitwise_or.reduceat(bit, start) if len(at) else bit
-        for k, part in enumerate(np.split(marks, _PARTS)):
+        for k, part in enumerate(np.split(marks, pieces)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["part", "counts"])
 
@@ -94,16 +95,18 @@ def mark_cells(df: DataFrame, size: int, cells: Callable[[Iterator[pa.RecordBatc
                 parts[part] = parts[part] | bits if part in parts else bits
         yield _packed(parts)
 
-    out = np.zeros((_PARTS, size // 8 // _PARTS), np.uint8)
-    for row in df.mapInArrow(mark, _SCHEMA).repartition(_PARTS, "part").mapInArrow(join, _SCHEMA).collect():
+    out = np.zeros((pieces, size // 8 // pieces), np.uint8)
+    for row in df.mapInArrow(mark, _SCHEMA).repartition(pieces, "part").mapInArrow(join, _SCHEMA).collect():
         out[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
     return out.ravel()
 
 
-def bit_table(keys: DataFrame, each: int = 8, least: int = 1 << 20, most: int = 1 << 29):
-    """Broadcast bit table of the bigint column ``key``, at least ``each`` bits a key up to ``most`` bits."""
+def bit_table(keys: DataFrame, each: int = 8, least: int = 1 << 20, most: int = 1 << 29, n: int | None = None):
+    """Broadcast bit table of the bigint column ``key``, at least ``each`` bits a key up to ``most`` bits.
+
+    ``n`` is the number of keys, which are counted without it."""
     keys = keys.select("key")
-    size = min(max(least, 1 << (each * keys.count() + 1).bit_length()), most)
+    size = min(max(least, 1 << (each * (keys.count() if n is None else n) + 1).bit_length()), most)
 
     def cells(batches):
         for batch in batches:

@@ -14,13 +14,15 @@ most frequent runs (a broadcast table of at most ``HEAD`` rows) and add them up
 buckets of their hashes, so neither the model nor a text's neighbours are gathered anywhere.
 
 Runs are counted, and looked up, in blocks: a task takes the runs of a chunk of texts and cuts them by hash into buckets, whose
-number follows the size of the texts. A run can only repeat if the run without its first word does.
+number follows the size of the texts. A run can only repeat if the run without its first word does. A run is only looked up
+if the context before its last word, or the run without its first word, may be a kept context.
 Bit tables of the keys (eight bits a key, 2^29 at most) let tasks skip runs that can't count or aren't in the model; a wrong
 bit only costs a row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -44,11 +46,11 @@ CHUNK_TOKENS = 1 << 20
 # Columns of a chunk's runs are made for so many places at a time, and sorted in so many ranges of their keys.
 PART_TOKENS, RANGES = 1 << 16, 8
 # Runs of all lengths are looked up at once, so in smaller chunks.
-LOOK_UP_TOKENS = 1 << 18
+LOOK_UP_TOKENS = 1 << 19
 # Rows of the model that every task gets; the others are looked up in buckets.
 HEAD = 1 << 20
-# Bytes of text for each bucket of looked up runs.
-BUCKET_BYTES = 1 << 22
+# Bytes of text for each bucket of looked up runs. A bucket sends one sum a text, so fewer buckets send less.
+BUCKET_BYTES = 1 << 24
 END = np.uint64(0x1B873593CC9E2D51)
 SUMS = ["base", "score", "known"]
 OWN = ["chunk", "place", "id", "held_out", "n"]
@@ -118,7 +120,8 @@ def _countable(tokens: np.ndarray, rows: np.ndarray, size: int, contexts, words,
     if suffixes is not None:
         may = has_bit(suffixes.value, suffix)
         at, context, suffix = at[may], context[may], suffix[may]
-    return context, suffix, tokens[at + size - 1], _join(*(tokens[at + k] for k in range(size)))
+    word = tokens[at + size - 1]
+    return context, suffix, word, _join(context, word)
 
 
 def _starts(keys: np.ndarray) -> np.ndarray:
@@ -198,7 +201,8 @@ def _merged(held: list[np.ndarray]) -> np.ndarray:
 def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suffixes) -> DataFrame:
     """Counts of at least two of runs of ``size`` tokens, their contexts, words and suffixes being in the bit tables.
 
-    ``tokens`` is the number of training tokens. A pair's suffix is its word, and ``suffixes`` None."""
+    ``tokens`` is the number of training tokens, or of those that end a run of the suffix table. A pair's suffix is its word,
+    and ``suffixes`` None."""
     buckets = max(1, -(-tokens // max(1, CHUNK_TOKENS // 2)))
 
     def blocks(batches):
@@ -237,11 +241,11 @@ def _gram_counts(texts: DataFrame, size: int, tokens: int, contexts, words, suff
 
 
 def _level(scratch: Scratch, grams: DataFrame, contexts: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Kept nodes ``(key, spare, c)`` and the runs' ``(key, c, p, gain)`` of one depth, as written tables.
+    """Kept nodes ``(key, spare, c)`` and their runs' ``(key, c, p, gain)`` of one depth, as written tables.
 
     ``grams(key, context, suffix, c)``; ``contexts(key, total)``; ``below(key, p)`` predicts a follower by the parent,
-    by its key ``suffix``. ``spare`` is log10 g(s), ``gain`` log10 p(w | s) - log10 (g(s) p(w | parent)); a run
-    whose context isn't kept has the parent's ``p`` and no gain.
+    by its key ``suffix``. ``spare`` is log10 g(s), ``gain`` log10 p(w | s) - log10 (g(s) p(w | parent)). A run whose context
+    isn't kept has neither: no run of the next depth has it as its suffix, as parents of contexts are kept.
     """
     placed = grams.join(contexts.select(F.col("key").alias("context"), "total"), "context").join(
         below.select(F.col("key").alias("suffix"), "p"), "suffix"
@@ -254,8 +258,8 @@ def _level(scratch: Scratch, grams: DataFrame, contexts: DataFrame, below: DataF
     ).where("won > 0.5D * k * ln(c)").select(F.col("context").alias("key"), F.log10(1 - F.col("taken")).alias("spare"), "c")
     nodes = scratch.store(nodes, "nodes")
     left = F.pow(F.lit(10.0), F.col("spare")) * F.col("p")
-    followers = placed.join(nodes.select(F.col("key").alias("context"), "spare"), "context", "left").select(
-        "key", "c", F.coalesce(share + left, "p").alias("p"), (F.log10(share + left) - F.log10(left)).alias("gain")
+    followers = placed.join(nodes.select(F.col("key").alias("context"), "spare"), "context").select(
+        "key", "c", (share + left).alias("p"), (F.log10(share + left) - F.log10(left)).alias("gain")
     )
     followers = scratch.store(followers, "followers")
     scratch.drop(placed)
@@ -263,39 +267,71 @@ def _level(scratch: Scratch, grams: DataFrame, contexts: DataFrame, below: DataF
 
 
 class _Numbers:
-    """Base and value of words or runs, by sorted key."""
+    """Base and value of words or runs, by sorted key; rows of a key have one base, their values are added."""
 
     def __init__(self, keys: np.ndarray, base: np.ndarray, value: np.ndarray) -> None:
         order = np.argsort(keys)
-        self.keys, self.base, self.value = keys[order], base[order], value[order]
+        start = _starts(keys[order])
+        self.keys, self.base = keys[order[start]], base[order[start]]
+        self.value = np.add.reduceat(value[order], start) if len(start) else value
+        # Where the keys of each first bits begin; a last key ends every search.
+        self.shift = np.uint64(64 - max(1, len(start).bit_length()))
+        cells = np.arange(1 << 64 - int(self.shift), dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(self.keys, cells).astype(np.int32)
+        self.keys = np.r_[self.keys, ~np.uint64(0)]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``keys`` are here, and the places of those."""
-        at = np.searchsorted(self.keys, keys)
-        here = at < len(self.keys)
-        here[here] = self.keys[at[here]] == keys[here]
+        at = self.first[(keys >> self.shift).astype(np.int64)]
+        left = np.flatnonzero(self.keys[at] < keys)
+        while len(left):
+            at[left] += 1
+            left = left[self.keys[at[left]] < keys[left]]
+        here = (self.keys[at] == keys) & (at < len(self.value))
         return here, at[here]
 
 
-def _head(model: DataFrame) -> tuple[dict[bool, _Numbers], DataFrame]:
-    """At most ``HEAD`` rows of the model with the highest counts, words and runs apart, and the others.
+def _alone(counts: np.ndarray, total: int) -> np.ndarray:
+    """Log10 probabilities of words by their counts alone; ``total`` is N + V + 1."""
+    return np.log10((counts + 1) / total)
 
-    Counts fall in classes of a ninth more each; the head is the highest classes that fit."""
+
+def _head(model: DataFrame, total: int) -> tuple[dict[bool, _Numbers], DataFrame, int]:
+    """At most ``HEAD`` rows of the model with the highest counts, words and runs apart, the others, and their number.
+
+    Counts fall in classes of a ninth more each; the head is the highest classes that fit. Rows of a key have one count."""
     heat = F.floor(8 * F.log2("c")).cast("int")
-    left, least = HEAD, 8 * 64
-    for row in sorted(model.groupBy(heat.alias("heat")).count().collect(), key=lambda r: -r["heat"]):
+    classes = sorted(model.groupBy(heat.alias("heat")).count().collect(), key=lambda r: -r["heat"])
+    left, least, others = HEAD, 8 * 62, sum(row["count"] for row in classes)
+    for row in classes:
         left -= row["count"]
         if left < 0:
             break
-        least = row["heat"]
-    rows = model.where(heat >= least).select("key", "word", "base", "value").toArrow()
+        least, others = row["heat"], others - row["count"]
+    # The least count of the class, as plain counts are compared in the files.
+    least = math.ceil(2 ** (least / 8))
+    rows = model.where(F.col("c") >= least).select("key", "word", "c", "value").toArrow()
     is_word = rows.column("word").to_numpy().astype(bool)
-    key, base, value = (rows.column(c).to_numpy() for c in ("key", "base", "value"))
-    head = {w: _Numbers(key[is_word == w].view(np.uint64), base[is_word == w], value[is_word == w]) for w in (True, False)}
-    return head, model.where(heat < least)
-
-
-def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unseen: float, head, runs, tail) -> DataFrame:
+    key, counts, value = (rows.column(c).to_numpy() for c in ("key", "c", "value"))
+    head = {w: _Numbers(key[is_word == w].view(np.uint64), _alone(counts[is_word == w], total), value[is_word == w]) for w in (True, False)}
+    return head, model.where(F.col("c") < least), others
+
+
+def _candidates(tokens: np.ndarray, rows: np.ndarray, longest: int, kept) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(size, rows, keys)`` of the words and of the runs up to ``longest`` that may be in the model: runs after a kept
+    context, and runs whose suffix is a kept context, as they may be kept ones too."""
+    yield 1, rows, tokens
+    before = has_bit(kept.value, tokens)
+    for size in range(2, longest + 1):
+        n = max(0, len(tokens) - size + 1)
+        at = np.flatnonzero((before[:n] | before[1 : n + 1]) & (rows[:n] == rows[size - 1 : size - 1 + n]))
+        key = _join(*(tokens[at + k] for k in range(size)))
+        before = np.zeros(n, bool)
+        before[at] = has_bit(kept.value, key)
+        yield size, rows[at], key
+
+
+def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unseen: float, head, kept, tail) -> DataFrame:
     """Rows of two kinds: a text's own ``(chunk, place, id, held_out, n)``, with its sums over what the head holds and over
     unseen words, and blocks of a bucket's other words or runs in a chunk: key, place of the text, and count."""
 
@@ -305,14 +341,8 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
             sizes = np.bincount(row)
             m = len(sizes)
             found = {True: [], False: []}
-            for size in range(1, longest + 1):
+            for size, at, key in _candidates(tokens, row, longest, kept):
                 word = size == 1
-                at, key = (row, tokens) if word else _grams(tokens, row, size)[::4]
-                if not word:
-                    may = has_bit(runs.value, key)
-                    at, key = at[may], key[may]
-                order = np.argsort(key)
-                at, key = at[order], key[order]
                 here, place = head.value[word].find(key)
                 value = head.value[word].value[place]
                 if word:
@@ -320,9 +350,10 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
                     sums = [np.bincount(at[here], w, m).astype(float) for w in (alone, value + alone, np.ones(len(place)))]
                 else:
                     sums[1] += np.bincount(at[here], value, m)
-                rest = ~here & has_bit(tail.value, key)
+                at, key = at[~here], key[~here]
+                rest = has_bit(tail.value, key)
                 if word:
-                    new = np.bincount(at[~here & ~rest], minlength=m) * unseen
+                    new = np.bincount(at[~rest], minlength=m) * unseen
                     sums[0] += new
                     sums[1] += new
                 found[word].append((key[rest], at[rest]))
@@ -335,7 +366,7 @@ def _occurrences(rows: DataFrame, id_type: str, longest: int, buckets: int, unse
             yield pa.RecordBatch.from_arrays([bucket, *own, *(pa.array(v) for v in sums), *nothing], names=names)
             for word, parts in found.items():
                 key, at = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (tokens[:0], row[:0])
-                order = np.lexsort((at, key))
+                order = np.argsort(key)
                 key, at = key[order], at[order]
                 start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])]) if len(key) else order
                 n = np.diff(np.r_[start, len(key)])
@@ -361,7 +392,7 @@ def _own(id_type: str) -> str:
 
 
 def _model_blocks(model: DataFrame, buckets: int) -> DataFrame:
-    """The model's rows as blocks of a bucket: key, base and value."""
+    """The model's rows as blocks of a bucket: key, value and, of words, count."""
 
     def blocks(batches):
         held, n = [], 0
@@ -377,20 +408,23 @@ def _model_blocks(model: DataFrame, buckets: int) -> DataFrame:
     def cut(held):
         table = pa.Table.from_batches(held)
         is_word = table.column("word").to_numpy().astype(bool)
-        key, base, value = (table.column(c).to_numpy() for c in ("key", "base", "value"))
+        key, counts, value = (table.column(c).to_numpy() for c in ("key", "c", "value"))
         for word in (True, False):
-            numbers = _Numbers(key[is_word == word].view(np.uint64), base[is_word == word], value[is_word == word])
-            bucket, packed = _dealt(numbers.keys, buckets, numbers.keys, numbers.base.astype("<f8"), numbers.value.astype("<f8"))
+            numbers = _Numbers(key[is_word == word].view(np.uint64), counts[is_word == word], value[is_word == word])
+            columns = [numbers.keys[:-1], numbers.value.astype("<f8"), *([numbers.base.astype("<u8")] if word else [])]
+            bucket, packed = _dealt(columns[0], buckets, *columns)
             for k in range(0, len(packed), 4096):
                 part = [pa.array(bucket[k : k + 4096]), pa.array(np.full(len(packed[k : k + 4096]), word)), pa.array(packed[k : k + 4096], pa.binary())]
                 yield pa.RecordBatch.from_arrays(part, names=["bucket", "word", "block"])
 
-    return model.select("key", "word", "base", "value").mapInArrow(blocks, "bucket int, word boolean, block binary")
+    return model.select("key", "word", "c", "value").mapInArrow(blocks, "bucket int, word boolean, block binary")
+
 
+def _sums(seen: DataFrame, model: DataFrame, id_type: str, buckets: int, total: int) -> DataFrame:
+    """Texts with their sums over head and buckets: a bucket's runs find their numbers, which are then added up by chunk.
 
-def _sums(seen: DataFrame, model: DataFrame, id_type: str, buckets: int, unseen: float) -> DataFrame:
-    """Texts with their sums over head and buckets: a bucket's runs find their numbers, which are then added up by chunk."""
-    names = [*OWN, *SUMS, "block"]
+    A bucket sends sums of base and known words, and sums of values, each for the texts that have any."""
+    names = [*OWN, *SUMS, "word", "block"]
 
     def look_up(batches):
         known, wanted = {True: [], False: []}, {True: [], False: []}
@@ -400,43 +434,50 @@ def _sums(seen: DataFrame, model: DataFrame, id_type: str, buckets: int, unseen:
                 yield own.select(names)
             for row in batch.filter(pc.is_valid(batch.column("block"))).select(["word", "chunk", "block"]).to_pylist():
                 if row["chunk"] is None:
-                    known[row["word"]].append(_unpacked(row["block"], "<u8", "<f8", "<f8"))
+                    known[row["word"]].append(_unpacked(row["block"], "<u8", "<f8", *(["<u8"] if row["word"] else [])))
                 else:
                     wanted[row["word"]].append((row["chunk"], row["block"]))
-        chunks: dict[int, list] = {}
+        values: dict[int, list] = {}
         for word in (True, False):
             if not wanted[word]:
                 continue
-            nothing = [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
-            numbers = _Numbers(*(np.concatenate(c) for c in zip(nothing, *known[word], strict=True)))
+            nothing = [np.zeros(0, np.uint64), np.zeros(0), *([np.zeros(0, np.uint64)] if word else [])]
+            key, value, *counts = (np.concatenate(c) for c in zip(nothing, *known[word], strict=True))
+            numbers = _Numbers(key, *counts or [value], value)
             for chunk, block in wanted[word]:
                 key, at, n = _unpacked(block, "<u8", "<u4", "<u4")
                 here, place = numbers.find(key)
-                value = np.zeros(len(key))
-                value[here] = numbers.value[place]
-                base = np.full(len(key), unseen if word else 0.0)
                 if word:
-                    base[here] = numbers.base[place]
-                chunks.setdefault(chunk, []).append((at, n * base, n * (value + base), n * (here if word else 0.0)))
-        for chunk, parts in chunks.items():
-            at, *sums = (np.concatenate(c) for c in zip(*parts, strict=True))
-            place, owner = np.unique(at, return_inverse=True)
-            added = [np.bincount(owner, v, len(place)).astype("<f8") for v in sums]
-            block = _dealt(np.zeros(len(place), np.uint64), 1, place, *added)[1]
-            columns = [pa.array([chunk]), *(pa.nulls(1, t) for t in kinds), pa.array(block, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    counts = np.zeros(len(key))
+                    counts[here] = numbers.base[place]
+                    yield sums(chunk, True, at, (n * _alone(counts, total), "<f8"), (n * here, "<u4"))
+                at, value = at[here], n[here] * numbers.value[place]
+                values.setdefault(chunk, []).append((at[value != 0], value[value != 0]))
+        for chunk, parts in values.items():
+            at, value = (np.concatenate(c) for c in zip(*parts, strict=True))
+            if len(at):
+                yield sums(chunk, False, at, (value, "<f8"))
+
+    def sums(chunk, word, at, *columns):
+        place, owner = np.unique(at, return_inverse=True)
+        added = [np.bincount(owner, v, len(place)).astype(kind) for v, kind in columns]
+        block = _dealt(np.zeros(len(place), np.uint64), 1, place, *added)[1]
+        return pa.RecordBatch.from_arrays([pa.array([chunk]), *(pa.nulls(1, t) for t in kinds), pa.array([word]), pa.array(block, pa.binary())], names=names)
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         texts = []
         for batch in batches:
-            texts.append(batch.filter(pc.is_null(batch.column("block"))).drop_columns(["block"]))
-            for row in batch.filter(pc.is_valid(batch.column("block"))).select(["chunk", "block"]).to_pylist():
-                place, *added = _unpacked(row["block"], "<u4", "<f8", "<f8", "<f8")
+            texts.append(batch.filter(pc.is_null(batch.column("block"))).drop_columns(["word", "block"]))
+            for row in batch.filter(pc.is_valid(batch.column("block"))).select(["chunk", "word", "block"]).to_pylist():
+                place, *added = _unpacked(row["block"], "<u4", "<f8", *(["<u4"] if row["word"] else []))
                 held = sums.setdefault(row["chunk"], np.zeros((3, 0)))
                 if place.max() >= held.shape[1]:
                     held = sums[row["chunk"]] = np.pad(held, ((0, 0), (0, int(place.max()) + 1 - held.shape[1])))
-                held[:, place] += added
+                if row["word"]:
+                    held[0, place] += added[0]
+                    held[2, place] += added[1]
+                held[1, place] += added[0]
         for batch in texts:
             out = [batch.column(c).to_numpy().copy() for c in SUMS]
             chunk, place = (batch.column(c).to_numpy() for c in ("chunk", "place"))
@@ -447,13 +488,13 @@ def _sums(seen: DataFrame, model: DataFrame, id_type: str, buckets: int, unseen:
                     mine = mine[place[mine] < held.shape[1]]
                     for k in range(3):
                         out[k][mine] += held[k][place[mine]]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), *(pa.array(v) for v in out)], names=names[:-1])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), *(pa.array(v) for v in out)], names=names[:-2])
 
     kinds = [pa.int32(), to_arrow_type(seen.schema["id"].dataType), pa.bool_(), pa.int64(), *[pa.float64()] * 3]
     blocks = _model_blocks(model, buckets)
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in seen.schema if f.name not in blocks.columns]
     both = seen.union(blocks.select("*", *empty).select(*seen.columns))
-    found = both.repartitionById(buckets, F.col("bucket")).mapInArrow(look_up, f"{_own(id_type)}, block binary")
+    found = both.repartitionById(buckets, F.col("bucket")).mapInArrow(look_up, f"{_own(id_type)}, word boolean, block binary")
     return found.repartition(buckets, "chunk").mapInArrow(add, _own(id_type))
 
 
@@ -480,45 +521,44 @@ def suffix_scores(
     end = int(tx.signed(np.array([END]))[0])
 
     contexts = words.where((F.col("c") >= CONTEXT_COUNT) & (F.col("key") != end)).select("key", F.col("c").alias("total"))
-    below, suffixes, levels, used = p0.select("key", "p"), None, [], [words]
+    contexts = scratch.store(contexts, "contexts")
+    below, suffixes, places, levels = p0.select("key", "p"), None, n, []
     while len(levels) < depth:
-        grams = _gram_counts(train, len(levels) + 2, n, bit_table(contexts), often, suffixes)
+        grams = _gram_counts(train, len(levels) + 2, places, bit_table(contexts), often, suffixes)
         grams = scratch.store(grams, "runs")
         nodes, followers = _level(scratch, grams, contexts, below)
         levels.append((nodes, followers))
-        used += levels[-1]
         # A run is a context if its parent is a kept one.
-        contexts = scratch.store(
+        used, contexts = contexts, scratch.store(
             grams.where((F.col("c") >= CONTEXT_COUNT) & (F.col("word") != end))
             .join(nodes.select(F.col("key").alias("suffix")), "suffix", "left_semi").select("key", F.col("c").alias("total")),
             "contexts",
         )
-        scratch.drop(grams)
-        used.append(contexts)
+        scratch.drop(grams, used)
         if contexts.isEmpty():
             break
-        below, suffixes = followers.select("key", "p"), bit_table(followers)
-
-    unigram = p0.join(levels[0][0].select("key", "spare"), "key", "left") if levels else p0.withColumn("spare", F.lit(0.0))
-    unigram = unigram.select("key", F.lit(True).alias("word"), F.log10("p").alias("base"), F.coalesce("spare", F.lit(0.0)).alias("value"), "c")
-    # A run may be a follower, a context, or both.
-    runs = [f.where("gain IS NOT NULL").select("key", F.col("gain").alias("value"), "c") for _, f in levels]
-    runs += [nodes.select("key", F.col("spare").alias("value"), "c") for nodes, _ in levels[1:]]
-    model = unigram
-    if runs:
-        longer = reduce(DataFrame.union, runs).groupBy("key").agg(F.sum("value").alias("value"), F.max("c").alias("c"))
-        model = unigram.union(longer.select("key", F.lit(False), F.lit(None).cast("double"), "value", "c"))
-    model = scratch.store(model, "model")
-    scratch.drop(*used)
-
-    head, rest = _head(model)
+        # A longer run is counted where its suffix is.
+        places, size = followers.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+        below, suffixes = followers.select("key", "p"), bit_table(followers, n=size)
+    scratch.drop(contexts)
+
+    # A word may be a context; a run may be a follower, a context, or both. Their rows' values are added where they are read.
+    model = [words.select("key", F.lit(True).alias("word"), "c", F.lit(0.0).alias("value"))]
+    for k, (nodes, followers) in enumerate(levels):
+        model.append(nodes.select("key", F.lit(k == 0), "c", "spare"))
+        model.append(followers.select("key", F.lit(False), "c", "gain"))
+    model = reduce(DataFrame.union, model)
+    nodes = reduce(DataFrame.union, [words.select("key").limit(0), *(nodes.select("key") for nodes, _ in levels)])
+
+    head, rest, others = _head(model, n + v + 1)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = int(size // BUCKET_BYTES) + 1
     unseen = -float(np.log10(n + v + 1))
-    # Runs of the model, and words and runs beyond the head.
-    runs, tail = bit_table(model.where("NOT word")), bit_table(rest)
-    seen = _occurrences(rows, id_type, len(levels) + 1, buckets, unseen, spark.sparkContext.broadcast(head), runs, tail)
-    sums = _sums(seen, rest, id_type, buckets, unseen)
+    # Words and runs beyond the head.
+    # A task marks a table of its own, so there are few.
+    kept, tail = bit_table(nodes), bit_table(rest.coalesce(spark.sparkContext.defaultParallelism), n=others)
+    seen = _occurrences(rows, id_type, len(levels) + 1, buckets, unseen, spark.sparkContext.broadcast(head), kept, tail)
+    sums = _sums(seen, rest, id_type, buckets, n + v + 1)
     return sums.select(
         F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), F.round("known").cast("bigint").alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score",

@@ -21,8 +21,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 # Separators where punctuation doesn't count: all ASCII but letters and digits.
 PUNCTUATION = np.array([k < 128 and not chr(k).isalnum() for k in range(256)])
-_LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
-_LOWER[65:91] += np.uint64(32)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -75,7 +73,8 @@ def words(
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~apart[raw]
+    # Compared bytes take less time than looked up ones.
+    solid = (raw != 32) & (raw - np.uint8(9) > 4) if apart is _SPACE else ~apart[raw]
     before = np.empty(n, bool)
     before[0], before[1:] = False, solid[:-1]
     before[bounds[:-1][bounds[:-1] < n]] = False
@@ -87,9 +86,14 @@ def words(
     up, down = _POWERS.upto(n)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_LOWER[raw] * up[:n], out=sums[1:])
+    lower = (raw | (raw - np.uint8(65) < 26).view(np.uint8) << 5).astype(np.uint64)
+    lower += np.uint64(1)
+    lower *= up[:n]
+    np.cumsum(lower, out=sums[1:])
+    del lower
     hashes = mix((sums[end] - sums[start]) * down[start])
-    return hashes, np.searchsorted(bounds, start, "right") - 1, start, end
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(start, bounds)))
+    return hashes, row, start, end
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
