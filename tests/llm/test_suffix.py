@@ -132,6 +132,52 @@ def test_columns_are_made_for_countable_runs_only():
     assert keep.any() and peak < 0.7 * whole, (peak, whole)
 
 
+def test_only_runs_beside_kept_contexts_are_looked_up():
+    """Runs after a kept context and kept contexts are all met; few others are, and none across texts."""
+    draw = np.random.default_rng(6)
+    tokens = tx.mix(draw.zipf(1.3, 1 << 16).astype(np.uint64) % np.uint64(4000))
+    rows = np.sort(draw.integers(0, 300, len(tokens)))
+    marks, kept = np.zeros(1 << 22, bool), {1: np.unique(tokens)[::40]}
+
+    def runs(size):
+        at = np.flatnonzero(rows[: len(rows) - size + 1] == rows[size - 1 :])
+        return at, suffixlm._join(*(tokens[at + k] for k in range(size)))
+
+    for size in (2, 3):
+        # A kept context's parent is kept.
+        at, key = runs(size)
+        parent = suffixlm._join(*(tokens[at + k] for k in range(1, size)))
+        kept[size] = np.unique(key[np.isin(parent, kept[size - 1])])[::7]
+    for keys in kept.values():
+        marks[(keys & np.uint64(len(marks) - 1)).astype(np.int64)] = True
+
+    class Table:
+        value = np.packbits(marks)
+
+    met = {size: (row, key) for size, row, key in suffixlm._candidates(tokens, rows, 4, Table)}
+    assert met[1][1] is tokens
+    for size in (2, 3, 4):
+        at, key = runs(size)
+        context = tokens[at] if size == 2 else suffixlm._join(*(tokens[at + k] for k in range(size - 1)))
+        want = np.isin(context, kept[size - 1]) | np.isin(key, kept.get(size, kept[1][:0]))
+        found = Counter(zip(met[size][0].tolist(), met[size][1].tolist(), strict=True))
+        assert not Counter(zip(rows[at[want]].tolist(), key[want].tolist(), strict=True)) - found
+        assert want.any() and sum(found.values()) < 0.7 * len(at)
+
+
+def test_values_of_a_key_are_added():
+    """A run that is a follower and a context has two rows in the model."""
+    top = 2**64 - 1
+    keys = np.array([7, top - 1, 7, 1 << 63, 7], np.uint64)
+    numbers = suffixlm._Numbers(keys, np.array([2.0, 3, 2, 4, 2]), np.array([0.5, 1, 0.25, 2, 0]))
+    wanted = np.array([top, 7, 0, 1 << 63, 8, top - 1, 7], np.uint64)
+    here, place = numbers.find(wanted)
+    assert here.tolist() == [False, True, False, True, False, True, True]
+    assert numbers.value[place].tolist() == [0.75, 2, 1, 0.75] and numbers.base[place].tolist() == [2, 4, 3, 2]
+    nothing = suffixlm._Numbers(keys[:0], np.zeros(0), np.zeros(0))
+    assert not nothing.find(wanted)[0].any()
+
+
 @pytest.mark.parametrize("size", [2, 3])
 def test_runs_are_dealt_in_ranges(monkeypatch, size):
     """A chunk's runs and their numbers go to their buckets without sorted columns of the whole chunk."""
