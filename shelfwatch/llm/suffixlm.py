@@ -274,15 +274,17 @@ class _Numbers:
         start = _starts(keys[order])
         self.keys, self.base = keys[order[start]], base[order[start]]
         self.value = np.add.reduceat(value[order], start) if len(start) else value
-        # Where the keys of each first bits begin; a last key ends every search.
-        self.shift = np.uint64(64 - max(1, len(start).bit_length()))
-        cells = np.arange(1 << 64 - int(self.shift), dtype=np.uint64) << self.shift
+        # Where the keys of each cell of their span begin, as a bucket's keys share first bits; a last key ends every search.
+        self.low, self.high = (self.keys[0], self.keys[-1]) if len(start) else (np.uint64(0), np.uint64(0))
+        span = int(self.high) - int(self.low)
+        self.shift = np.uint64(max(0, span.bit_length() - len(start).bit_length()))
+        cells = self.low + (np.arange((span >> int(self.shift)) + 1, dtype=np.uint64) << self.shift)
         self.first = np.searchsorted(self.keys, cells).astype(np.int32)
         self.keys = np.r_[self.keys, ~np.uint64(0)]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``keys`` are here, and the places of those."""
-        at = self.first[(keys >> self.shift).astype(np.int64)]
+        at = self.first[(np.clip(keys, self.low, self.high) - self.low >> self.shift).astype(np.int64)]
         left = np.flatnonzero(self.keys[at] < keys)
         while len(left):
             at[left] += 1
